@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, packing, quality, secret_scan, url_filter, warc
+from . import chat, decontamination, packing, quality, secret_scan, url_filter, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op4_urls": op4_urls,
     "op5_quality": op5_quality,
+    "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
@@ -82,4 +87,17 @@ SELECT page_id, host, path, rule, coalesce(by_host, CASE WHEN hit IS NOT NULL TH
 FROM j"""
 
 
-SQL = {"op4_urls": _url_sql()}
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') , lambda x: x <> '')"
+#: Every window that starts at a shingle of the item, compared in full.
+_LEAKS = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+ds AS (SELECT doc_id, len(w) - 4 AS n, unnest(range(len(w) - 4)) AS p, w FROM d WHERE len(w) >= 5),
+dsh AS (SELECT doc_id, n, p, array_to_string(w[p + 1 : p + 5], ' ') AS s FROM ds),
+ish AS (SELECT item_id, m, array_to_string(w[p + 1 : p + 5], ' ') AS s FROM (SELECT item_id, len(w) - 4 AS m, unnest(range(len(w) - 4)) AS p, w FROM i WHERE len(w) >= 5)),
+ic AS (SELECT item_id, m, s, count(*) AS c FROM ish GROUP BY ALL),
+starts AS (SELECT DISTINCT doc_id, item_id, m, greatest(least(p, n - m), 0) AS start FROM dsh JOIN ic USING (s)),
+wc AS (SELECT doc_id, item_id, start, m, s, count(*) AS c FROM starts JOIN dsh USING (doc_id) WHERE p BETWEEN start AND start + m - 1 GROUP BY ALL),
+o AS (SELECT doc_id, item_id, start, any_value(wc.m) AS m, sum(wc.c) AS size, sum(least(wc.c, coalesce(ic.c, 0))) AS common FROM wc LEFT JOIN ic USING (item_id, s) GROUP BY ALL),
+r AS (SELECT doc_id, item_id, start, common::DOUBLE / (m + size - common) AS similarity FROM o)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, (-similarity, start)) AS start FROM r WHERE similarity >= 0.8 GROUP BY ALL"""
+SQL = {"op4_urls": _url_sql(), "op7_decontamination": _LEAKS}
