@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, packing, quality, secret_scan, url_filter, warc
+from . import chat, decontamination, near_dedup, packing, quality, secret_scan, url_filter, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("findings")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"), 4)
+
+
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -53,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secrets": op2_secrets,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_urls": op4_urls,
     "op5_quality": op5_quality,
     "op7_decontamination": op7_decontamination,
