@@ -38,7 +38,7 @@ from .common import by_batch
 LENGTH, END_ID = 4096, 2
 GROUP = 8192
 #: Chunks that a worker remembers.
-KNOWN = 1_000_000
+KNOWN = 2_000_000
 #: One word, or a word and a mark: one or two words to the tokenizer.
 PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,|*])?")
 
@@ -100,7 +100,7 @@ class Encoder:
             self.forget()
         new = set(chain.from_iterable(chunks)).difference(self.known)
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         if not texts:
             return []
         number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64)
