@@ -41,9 +41,12 @@ BROADCAST_WORDS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
 def _words(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.split(F.btrim(lowered, F.lit(SPACES)), r"[\x20\x09-\x0D]+")
 
 
 def _shingles(text: Column) -> Column:
@@ -55,7 +58,7 @@ def _shingles(text: Column) -> Column:
         each = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + k) for k in five]))
         return F.when(last >= 0, each).otherwise(F.expr("cast(array() AS array<bigint>)"))
 
-    return F.get(F.transform(F.array(F.transform(_words(text), lambda w: F.xxhash64(w))), of), F.lit(0))
+    return F.get(F.transform(F.array(_words(text)), of), F.lit(0))
 
 
 def simhash(s: Column) -> Column:
@@ -78,11 +81,11 @@ def simhash(s: Column) -> Column:
     out = half(0)
     for place in range(4, 64, 4):
         out = out.bitwiseOR(half(place))
-    return out
+    return F.coalesce(out, F.lit(0).cast("long"))  # never null: else the optimizer asks twice
 
 
 def _block(h: str, i: int | str) -> Column:
-    return F.expr(f"cast(shiftrightunsigned({h}, {64 // BLOCKS} * {i}) & {(1 << 64 // BLOCKS) - 1} AS int)")
+    return F.expr(f"coalesce(cast(shiftrightunsigned({h}, {64 // BLOCKS} * {i}) & {(1 << 64 // BLOCKS) - 1} AS int), 0)")
 
 
 def _around(block: Column) -> Column:
@@ -106,7 +109,7 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = F.broadcast if small else (lambda df: df)
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _shingles(F.col("text")).alias("s"))
-    each = texts.select("doc_id", "s", F.posexplode("s").alias("at", "shingle"))
+    each = texts.select("doc_id", "s", F.posexplode_outer("s").alias("at", "shingle"))
     # one row for each shingle and window size: which items it belongs to
     anchors = items.select(F.size("item").alias("m"), "item", F.explode(F.array_distinct("item")).alias("shingle")).groupBy("shingle", "m").agg(F.array_distinct(F.flatten(F.collect_list("item"))).alias("of"))
     has = lambda i: F.coalesce(F.array_contains("of", F.get("s", i)), F.lit(False))
