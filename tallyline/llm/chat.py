@@ -31,7 +31,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BATCH_ROWS, by_batch
+from .common import bound_batches, by_batch
 
 OPEN, CLOSE = "### ", "</turn>"
 HEAD = re.compile(r"### ([A-Za-z0-9_%-]*)\|([01]): ")
@@ -161,7 +161,7 @@ def read_back(turns: DataFrame) -> DataFrame:
         if reader:
             yield pa.RecordBatch.from_pylist([dict(zip(names, reader.row(current), strict=True))], schema=_SCHEMA)
 
-    turns.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bound_batches(turns.sparkSession)
     ordered = (
         turns.select("conv_id", "turn", "role", "formatted")
         .repartition("conv_id")

@@ -11,8 +11,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of one Arrow batch that Python sees; a bound for a task's memory.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch that Python sees; a bound for a task's memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: White space that separates words in every operator here.
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -65,6 +65,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def by_batch(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict]],
@@ -72,7 +77,7 @@ def by_batch(
 ) -> DataFrame:
     """mapInArrow with state made once a task: make() gives a function from a
     batch to columns (name to list or array)."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bound_batches(df.sparkSession)
     fields = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, near_dedup, packing, quality, secret_scan, url_filter, warc
+from . import chat, decontamination, near_dedup, packing, quality, secret_scan, toxicity, url_filter, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("findings")
 
@@ -56,6 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_urls": op4_urls,

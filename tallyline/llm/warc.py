@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import new_folder, written
+from .common import bound_batches, new_folder, written
 
 REVISIT_BYTES = 1000
 CHUNK = 4 << 20
@@ -41,6 +41,10 @@ CHUNK = 4 << 20
 HEADER = 64 << 10
 RECORDS_A_FILE = 20_000
 SALTS = 16
+#: Rows of about 100 bytes that are broadcast.
+BROADCAST_REVISITS = 500_000
+#: Chunk entries (8 bytes each, and a path a file) that are broadcast.
+BROADCAST_ENTRIES = 1_000_000
 MAGIC = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -59,6 +63,9 @@ def records(pages: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
     salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     again = large.withColumn("salt", salt).join(salted, ["digest", "salt"]).where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    again = written(again, "warc-revisits")
+    if again.count() <= BROADCAST_REVISITS:  # else the pages move to them
+        again = F.broadcast(again)
     p = p.join(again, ["page_id", "digest"], "left")
     revisit = F.col("refers_to").isNotNull()
     uri = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
@@ -114,35 +121,32 @@ def boundaries(chunk: bytes, base: int) -> list[tuple[int, int, int, int, dict]]
     return [(s, b, n, leads[s], f) for s, b, n, f in found]
 
 
-_CANDIDATE = "path string, size long, start long, body long, successor long, exit long, kind string, page string, refers string, digest string, bytes long"
+_CANDIDATE = "path string, size long, start long, exit long"
 
 
-def chunks(spark, folder: str) -> DataFrame:
-    """path, size, base, content: CHUNK bytes from base on, and HEADER more."""
+def chunks(spark, folder: str, beside: DataFrame | None = None) -> DataFrame:
+    """path, size, base, content: CHUNK bytes from base on, and HEADER more;
+    and the columns of beside, a table by path."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", F.col("length").alias("size"), "content")
-    cut = files.select("path", "size", "content", F.explode(F.expr(f"sequence(0L, size, {CHUNK}L)")).alias("base"))
-    return cut.where("base < size").select("path", "size", "base", F.expr(f"substring(content, cast(base + 1 as int), {CHUNK + HEADER})").alias("content"))
+    if beside is not None:
+        files = files.join(beside, "path")
+    cut = files.select("*", F.explode(F.expr(f"sequence(0L, size, {CHUNK}L)")).alias("base")).where("base < size")
+    return cut.withColumn("content", F.expr(f"substring(content, cast(base + 1 as int), {CHUNK + HEADER})"))
 
 
 def candidates(spark, folder: str) -> DataFrame:
+    """_CANDIDATE of every place where a record may start."""
     schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in _CANDIDATE.split(", ")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, size, base, content in zip(*(batch[i].to_pylist() for i in range(4)), strict=True):
-                rows = [
-                    {"path": path, "size": size, "start": s, "body": b, "successor": n, "exit": x, "kind": f["warc-type"], "page": f.get("warc-record-id"),
-                     "refers": f.get("warc-refers-to"), "digest": f.get("warc-payload-digest"), "bytes": int(v) if (v := f.get("x-payload-bytes", "")).isdigit() else None}
-                    for s, b, n, x, f in boundaries(content, base)
-                ]
+            for row in zip(*(batch[c] for c in ("path", "size", "base", "content")), strict=True):
+                path, size, base, content = (x.as_py() for x in row)
+                rows = [{"path": path, "size": size, "start": s, "exit": x} for s, _, _, x, _ in boundaries(content, base)]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        return written(chunks(spark, folder).mapInArrow(run, _CANDIDATE), "warc-candidates")
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    return written(chunks(spark, folder).mapInArrow(run, _CANDIDATE), "warc-candidates")
 
 
 def reachable(found: DataFrame) -> DataFrame:
@@ -159,59 +163,60 @@ def reachable(found: DataFrame) -> DataFrame:
     return known.select("path", "start").distinct()
 
 
+_RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
 def read_archives(spark, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every
     record on the chain; digests are those of the payloads as read, for revisits
     the header's."""
-    found = candidates(spark, folder)
-    marked = found.join(reachable(found).withColumn("entry", F.lit(True)), ["path", "start"], "left")
-    header = marked.select("path", "size", (F.floor(F.col("start") / CHUNK) * CHUNK).alias("base"), F.lit(0).alias("part"), "start", F.lit(None).cast("binary").alias("content"),
-                           "body", "successor", F.coalesce("entry", F.lit(False)).alias("entry"), "kind", "page", "refers", "digest", "bytes")
-    body = chunks(spark, folder).select("path", "size", "base", F.lit(1).alias("part"), F.lit(None).cast("long").alias("start"), F.expr(f"substring(content, 1, {CHUNK})").alias("content"),
-                                        *[F.lit(None).cast(t).alias(c) for c, t in (("body", "long"), ("successor", "long"), ("entry", "boolean"), ("kind", "string"), ("page", "string"), ("refers", "string"), ("digest", "string"), ("bytes", "long"))])
-    ordered = header.unionByName(body).repartition("path").sortWithinPartitions("path", "base", "part", "start")
-    out = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in out.split(", ")])
+    entries = written(reachable(candidates(spark, folder)), "warc-entries")
+    few = entries.count() <= BROADCAST_ENTRIES
+    entries = entries.groupBy("path").agg(F.collect_list("start").alias("entries"))
+    # a file's chunks follow each other in its task; where they are joined by
+    # shuffle they are sorted again
+    joined = chunks(spark, folder, F.broadcast(entries) if few else entries)
+    if not few:
+        joined = joined.repartition("path").sortWithinPartitions("path", "base")
+    schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in _RECORD.split(", ")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = _Stream()
         for batch in batches:
-            done = stream.read(batch.to_pylist())
-            if done:
-                yield pa.RecordBatch.from_pylist(done, schema=schema)
+            for row in zip(*(batch[c] for c in ("path", "size", "base", "content", "entries")), strict=True):
+                done = stream.read(*(x.as_py() for x in row))
+                if done:
+                    yield pa.RecordBatch.from_pylist(done, schema=schema)
 
-    return ordered.mapInArrow(run, out)
+    return joined.mapInArrow(run, _RECORD)
 
 
 class _Stream:
-    """Takes, by file, each chunk's candidates and then its bytes. On the chain
-    is a candidate that is an entry, or the successor of the one before."""
+    """Takes the chunks of a file in order. On the chain is a candidate that is
+    an entry, or the successor of the one before."""
 
     def __init__(self) -> None:
         self.path: str | None = None
         self.expected = -1
         self.open: list[dict] = []
 
-    def read(self, rows: list[dict]) -> list[dict]:
-        done = []
-        for r in rows:
-            if r["path"] != self.path:
-                self.path, self.expected, self.open = r["path"], -1, []
-            if not r["part"]:
-                if r["entry"] or r["start"] == self.expected:
-                    self.expected = r["successor"]
-                    if r["successor"] <= r["size"]:
-                        self.open.append(r | {"sha1": hashlib.sha1()})
-                continue
-            base, content, rest = r["base"], r["content"], []
-            for x in self.open:
-                stop = x["successor"] - len(END)
-                x["sha1"].update(content[max(0, x["body"] - base) : max(0, stop - base)])
-                if x["successor"] - len(END) <= base + len(content):
-                    done.append(_row(x))
-                else:
-                    rest.append(x)
-            self.open = rest
+    def read(self, path: str, size: int, base: int, content: bytes, entries: list[int]) -> list[dict]:
+        if path != self.path:
+            self.path, self.expected, self.open = path, -1, []
+        known = set(entries)
+        for start, body, successor, _, fields in boundaries(content, base):
+            if start == self.expected or start in known:
+                self.expected = successor
+                if successor <= size:
+                    self.open.append({"body": body, "stop": successor - len(END), "fields": fields, "sha1": hashlib.sha1()})
+        own, done, rest = content[:CHUNK], [], []
+        for x in self.open:
+            x["sha1"].update(own[max(0, x["body"] - base) : max(0, x["stop"] - base)])
+            if x["stop"] <= base + len(own):
+                done.append(_row(x))
+            else:
+                rest.append(x)
+        self.open = rest
         return done
 
 
@@ -221,19 +226,21 @@ def _number(urn: str | None) -> int | None:
 
 
 def _row(x: dict) -> dict:
-    own = x["successor"] - len(END) - x["body"]
-    response = x["kind"] == "response"
+    fields = x["fields"]
+    response = fields["warc-type"] == "response"
+    stated = fields.get("x-payload-bytes", "")
     return {
-        "page_id": _number(x["page"]),
-        "payload_bytes": own if response else x["bytes"],
-        "payload_digest": x["sha1"].hexdigest() if response else (x["digest"] or "").removeprefix("sha1:"),
-        "record_type": x["kind"],
-        "refers_to": None if response else _number(x["refers"]),
+        "page_id": _number(fields.get("warc-record-id")),
+        "payload_bytes": x["stop"] - x["body"] if response else int(stated) if stated.isdigit() else None,
+        "payload_digest": x["sha1"].hexdigest() if response else fields.get("warc-payload-digest", "").removeprefix("sha1:"),
+        "record_type": fields["warc-type"],
+        "refers_to": None if response else _number(fields.get("warc-refers-to")),
     }
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Writes archives to the shared folder and reads them back."""
+    bound_batches(pages.sparkSession)
     folder = new_folder(pages.sparkSession, "warc")
     write_archives(pages, folder)
     return read_archives(pages.sparkSession, folder)
