@@ -198,6 +198,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def joining_links(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """a, b: links between left and right that join components, on full sets."""
+    right = right.rename(columns=lambda c: c.removesuffix("_right"))
     values = np.concatenate([*right["s"], np.zeros(0, np.int64)])
     sizes = right["s"].map(len).to_numpy(np.int64)
     owner = np.repeat(np.arange(len(right)), sizes)
@@ -240,7 +241,8 @@ def remaining_links(lists: DataFrame, sets: DataFrame, links: DataFrame) -> Data
     member = member.join(blocks, "g").select("g", "doc_id", "c", "s", "main", "all", "left", F.pmod(F.xxhash64("doc_id"), "all").cast("int").alias("j"), F.pmod(F.xxhash64("doc_id"), "left").cast("int").alias("i"))
     left = member.where(rest).select("g", "i", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), "doc_id", "c", "s")
     right = member.select("g", F.explode(F.sequence(F.lit(0), F.col("left") - 1)).alias("i"), "j", "doc_id", "c", "s")
-    return left.groupBy("g", "i", "j").cogroup(right.groupBy("g", "i", "j")).applyInPandas(joining_links, "a long, b long")
+    right = right.select(*[F.col(c).alias(f"{c}_right") for c in right.columns])
+    return left.groupBy("g", "i", "j").cogroup(right.groupBy("g_right", "i_right", "j_right")).applyInPandas(joining_links, "a long, b long")
 
 
 def link(documents: DataFrame, size: int) -> DataFrame:
