@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, near_dedup, packing, quality, secret_scan, toxicity, url_filter, warc
+from . import chat, decontamination, near_dedup, packing, pii, quality, secret_scan, toxicity, url_filter, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +41,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pii.find(documents, pii.fit(documents))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_urls": op4_urls,
     "op5_quality": op5_quality,
+    "op6_pii": op6_pii,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_chat": op9_chat,

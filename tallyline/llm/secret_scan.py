@@ -24,10 +24,11 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import by_batch, written
+from .common import bound_batches, by_batch, written
 
 BASE = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -44,6 +45,8 @@ ENTROPY = 3.0
 #: From so many distinct owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
 SALTS = 16
+#: Live hashes (8 bytes) that are broadcast.
+BROADCAST_HASHES = 1_000_000
 
 
 def entropy(value: str) -> float:
@@ -170,3 +173,56 @@ def mask(text: str | None, spans: list[tuple[int, int]]) -> str | None:
             out += [text[at:start], MASK]
         at = max(at, stop)
     return "".join([*out, text[at:]])
+
+
+def redact(documents: DataFrame) -> DataFrame:
+    """The documents with their live secrets masked; n_chars, where there is
+    such a column, follows the text.
+
+    Texts are scanned again while they are rewritten, so that only the hashes of
+    live values move: they are broadcast if there are at most BROADCAST_HASHES;
+    beyond that, each text's own candidates are joined with them."""
+    spark = documents.sparkSession
+    found = written(candidates(documents).select("doc_id", "owner", "repository", "found"), "secrets").where("size(found) > 0")
+    live = ownership(found).where(F.col("owners") < EXAMPLE_OWNERS).select("hash")
+    random = found.select(F.explode("found").alias("f")).where("f.random").select("f.hash").distinct()
+    live = written(live.join(random, "hash", "left_semi"), "live")
+    names, schema = documents.columns, documents.schema
+    bound_batches(spark)
+    if live.count() <= BROADCAST_HASHES:
+        shared = spark.sparkContext.broadcast(frozenset(r.hash for r in live.collect()))
+
+        def rewrite(batches):
+            for batch in batches:
+                texts = [_redacted(t, shared.value) for t in batch["text"].to_pylist()]
+                yield _replaced(batch, names, texts)
+
+        return documents.mapInArrow(rewrite, schema)
+    each = found.select("doc_id", F.explode("found.hash").alias("hash")).join(live, "hash").groupBy("doc_id").agg(F.collect_set("hash").alias("live_hashes"))
+    joined = documents.join(each.withColumnRenamed("doc_id", "live_id"), documents["doc_id"].cast("long") == F.col("live_id"), "left").drop("live_id")
+
+    def rewrite_joined(batches):
+        for batch in batches:
+            own = batch["live_hashes"].to_pylist()
+            texts = [_redacted(t, set(h or ())) for t, h in zip(batch["text"].to_pylist(), own, strict=True)]
+            yield _replaced(batch.select(names), names, texts)
+
+    return joined.mapInArrow(rewrite_joined, schema)
+
+
+def _redacted(text: str | None, live) -> str | None:
+    if not text:
+        return text
+    base = base_spans(text)
+    every = base + generic_spans(text, base)
+    return mask(text, [(s, e) for s, k, e, v in every if _hash(v) in live and (k == "generic" or _random_looking(v))])
+
+
+def _replaced(batch: pa.RecordBatch, names: list[str], texts: list[str | None]) -> pa.RecordBatch:
+    columns = {n: batch[n] for n in names}
+    columns["text"] = pa.array(texts, columns["text"].type)
+    if "n_chars" in columns:
+        old = columns["n_chars"].to_pylist()
+        before = batch["text"].to_pylist()
+        columns["n_chars"] = pa.array([n if a == b else len(b) for n, a, b in zip(old, before, texts, strict=True)], columns["n_chars"].type)
+    return pa.RecordBatch.from_arrays([columns[n] for n in names], names)
