@@ -8,6 +8,7 @@ from ..functions import geometry, text
 from ..operators import correct, density, keywords, lines, pixels, reconcile, sinks, structure, vectors
 from ..sources import fixtures
 from ..sources.fixtures import table
+from ..sources.shared import written
 
 PAGE_SIZE = 600.0 * 800.0
 _ROUND = 6
@@ -19,7 +20,11 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.lines(lines.assign(fixtures.invoices(spark, sf)))
+    return lines.lines(_assigned(spark, sf))
+
+
+def _assigned(spark: SparkSession, sf: str) -> DataFrame:
+    return written(lines.assign(fixtures.invoices(spark, sf)), "assigned")
 
 
 def _text_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +119,7 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def header_line(spark: SparkSession, sf: str) -> DataFrame:
-    return keywords.header_lines(lines.assign(fixtures.invoices(spark, sf)), keywords.lexicon(spark))
+    return keywords.header_lines(_assigned(spark, sf), keywords.lexicon(spark))
 
 
 def _codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,7 +138,7 @@ def date_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
-    placed = lines.assign(fixtures.invoices(spark, sf))
+    placed = _assigned(spark, sf)
     header = placed.groupBy("doc_id").agg(F.min("line_no").alias("header_line"))
     return structure.cells(placed, header)
 
@@ -167,7 +172,7 @@ def reconcile_documented(spark: SparkSession, sf: str) -> DataFrame:
 
 def invoice_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes to lines, to cells, to reconciled cells."""
-    return reconcile.reconcile(_cells(spark, sf), "documented")
+    return reconcile.reconcile(written(_cells(spark, sf), "cells"), "documented")
 
 
 def detail_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,11 +212,11 @@ def otsu_binarized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_differentials(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(lines.line_differentials(lines.assign(fixtures.invoices(spark, sf))))
+    return _rounded(lines.line_differentials(_assigned(spark, sf)))
 
 
 def polygon_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(lines.polygon_gaps(lines.assign(fixtures.invoices(spark, sf))))
+    return _rounded(lines.polygon_gaps(_assigned(spark, sf)))
 
 
 def correction_candidates(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,14 +6,14 @@ import json
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # File extensions of images.
 EXTENSIONS = ("png", "jpg", "jpeg", "bmp", "tif", "tiff", "webp", "gif", "pbm", "pgm", "ppm", "jp2", "ico")
 #: More images than this are a batch.
 INTERACTIVE = 5
 
-POLYGONS = T.StructType.fromDDL(
+POLYGONS = (
     "doc_id string, poly_id string, poly_no int, coords array<struct<x:double,y:double>>, xmin double, ymin double, xmax double, ymax double,"
     " cx double, cy double, ocr_text string, ocr_confidence double, perimeter double, line_id string, was_fragmented boolean, status boolean, stage string"
 )
