@@ -3,13 +3,12 @@ intermediate tables and Arrow plumbing."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..sources.shared import new_folder, written  # noqa: F401
 
 #: Rows and bytes of one Arrow batch that Python sees; a bound for a task's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
@@ -22,47 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's
-    spark.checkpoint.dir; where unset (tests in one JVM) a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tallyline-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        _drop_at_exit(spark, found)
-    return found.rstrip("/")
-
-
-def _drop_at_exit(spark: SparkSession, path: str) -> None:
-    def drop() -> None:
-        try:
-            remove(spark, path)
-        except Exception:  # the session may have ended before
-            pass
-
-    atexit.register(drop)
-
+_CLAIMED: list[str] = []
+_CACHES: dict[str, Callable[[], None]] = {}
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file system, whatever store it is in."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+def cached_by(owner: str, clear: Callable[[], None]) -> None:
+    """Says how a module frees what its tasks remember in a Python worker."""
+    _CACHES[owner] = clear
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, dropped when the driver ends."""
-    path = f"{shared_dir(spark)}/tallyline-{name}-{uuid.uuid4().hex}"
-    _drop_at_exit(spark, path)
-    return path
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table written to the shared folder and read again: it cuts the
-    lineage, and a lost executor costs no recomputation of what lies before."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def claim(owner: str) -> None:
+    """A task of owner starts in this worker: workers outlive tasks, so what
+    other modules remember is freed."""
+    if _CLAIMED != [owner]:
+        for name, clear in _CACHES.items():
+            if name != owner:
+                clear()
+        _CLAIMED[:] = [owner]
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -70,6 +45,15 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int, total: int, spare: int = 20) -> DataFrame:
+    """At most rows rows of df, in the order of the key's hash. Of total rows,
+    those whose hash is high cannot be among them and are left out before the
+    sort: about spare * rows are left, which one task can order."""
+    part = F.pmod(F.xxhash64(F.lit(99), key), F.lit(1 << 30))
+    bound = min(1 << 30, -(-spare * rows * (1 << 30) // max(total, 1)))
+    return df.where(part < bound).orderBy(F.xxhash64(key), key).limit(rows)
+
+
 def by_batch(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict]],
@@ -80,7 +64,10 @@ def by_batch(
     bound_batches(df.sparkSession)
     fields = _arrow_schema(df.sparkSession, schema)
 
+    owner = make.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
         step = make()
         for batch in batches:
             if batch.num_rows:

@@ -46,7 +46,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import by_batch, written
+from .common import by_batch, cached_by, written
 from .components import components
 
 K, NEEDED = 64, 32
@@ -60,7 +60,7 @@ BLOCK = 500_000
 SALTS = 16
 #: Ids of candidate documents that are broadcast.
 BROADCAST_IDS = 1_000_000
-_KNOWN = 1_000_000
+_KNOWN = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -73,6 +73,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+cached_by(__name__, _WORDS.clear)
 
 
 def shingle_set(words: list[bytes], size: int) -> np.ndarray:

@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_batch
+from .common import by_batch, cached_by
 
 LENGTH, END_ID = 4096, 2
 GROUP = 8192
@@ -117,6 +117,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+cached_by(__name__, encoder.cache_clear)
+
+
 def pieces(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, and ids if asked for."""
 

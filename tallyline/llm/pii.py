@@ -32,7 +32,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_batch
+from .common import by_batch, hashed_sample
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -46,9 +46,10 @@ HINT = re.compile(r"@|[0-9]")
 #: Texts that weights are learned from, at most.
 ROWS = 2000
 #: Potentials of equal labels on chain and skip edges; rounds of messages.
-CHAIN, SKIP, ROUNDS, SETTLED = 0.2, 2.5, 30, 1e-4
-#: A label needs this probability, and the token at least so many digits.
-CERTAIN, DIGITS = 0.8, 7
+CHAIN, SKIP, ROUNDS, SETTLED = 0.2, 6.0, 60, 1e-4
+#: A label needs this probability, and the token so many digits, at least and at
+#: most.
+CERTAIN, DIGITS, MOST_DIGITS = 0.8, 7, 19
 FEATURES = 2048
 
 
@@ -103,12 +104,17 @@ def _emails(text: str):
 
 
 def tokens(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, word before) of the candidates."""
+    """(start, end, word before) of the candidates. A run of more digits than
+    any kind has is taken part by part."""
     out = []
     for m in TOKEN.finditer(text):
-        if "@" in m[0] or sum(c.isdigit() for c in m[0]) >= DIGITS:
-            before = text[max(0, m.start() - 24) : m.start()].split()
-            out.append((m.start(), m.end(), before[-1].lower() if before else ""))
+        parts = [m.span()]
+        if "@" not in m[0] and len(_digits(m[0])) > MOST_DIGITS:
+            parts = [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"\S+", m[0])]
+        for start, end in parts:
+            if "@" in text[start:end] or len(_digits(text[start:end])) >= DIGITS:
+                before = text[max(0, start - 24) : start].split()
+                out.append((start, end, before[-1].lower() if before else ""))
     return out
 
 
@@ -220,7 +226,7 @@ def fit(documents: DataFrame) -> np.ndarray:
         return step
 
     some = _plain(documents).where(F.col("text").rlike(r"@|[0-9][0-9 ().-]{6}"))
-    sample = some.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS)
+    sample = hashed_sample(some.select("doc_id", "text"), "doc_id", ROWS, documents.count())
     rows = by_batch(sample, make, "doc_id long, t array<struct<f:array<int>,y:int>>").collect()
     rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, len(r.t)))
     return learn([(x.f, x.y) for r in rows for x in r.t])

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bound_batches, by_batch, written
+from .common import bound_batches, by_batch, claim, written
 
 BASE = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -193,6 +193,7 @@ def redact(documents: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(frozenset(r.hash for r in live.collect()))
 
         def rewrite(batches):
+            claim(__name__)
             for batch in batches:
                 texts = [_redacted(t, shared.value) for t in batch["text"].to_pylist()]
                 yield _replaced(batch, names, texts)
@@ -202,6 +203,7 @@ def redact(documents: DataFrame) -> DataFrame:
     joined = documents.join(each.withColumnRenamed("doc_id", "live_id"), documents["doc_id"].cast("long") == F.col("live_id"), "left").drop("live_id")
 
     def rewrite_joined(batches):
+        claim(__name__)
         for batch in batches:
             own = batch["live_hashes"].to_pylist()
             texts = [_redacted(t, set(h or ())) for t, h in zip(batch["text"].to_pylist(), own, strict=True)]

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bound_batches, by_batch
+from .common import bound_batches, by_batch, hashed_sample
 
 #: Space, 26 letters, anything else.
 SYMBOLS, ORDER, OTHER = 28, 4, 27
@@ -283,8 +283,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     labelled rows of each class, none of them held out."""
     language = language_model(count_grams(documents))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    order = (F.xxhash64("doc_id"), "doc_id")
-    chosen = [F.broadcast(known.where(c).select("doc_id").orderBy(*order).limit(rows)) for c in ("toxic > 0", "toxic <= 0")]
+    n = labels.count()
+    chosen = [F.broadcast(hashed_sample(known.where(c).select("doc_id"), "doc_id", rows, n)) for c in ("toxic > 0", "toxic <= 0")]
     texts = [documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(c, "doc_id", "left_semi") for c in chosen]
     sizes = [max(0, t.count()) for t in texts]
     if not all(sizes):
