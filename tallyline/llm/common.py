@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.shared import new_folder, written  # noqa: F401
+from ..sources.shared import dropped, new_folder, written  # noqa: F401
 
 #: Rows and bytes of one Arrow batch that Python sees; a bound for a task's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,8 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
         now = at.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).cast("string")).first()
         if now == before or not now[0]:
             break
-        before = now
+        before, last = now, at
         at = written(_small_star(_large_star(at)), "edges")
+        dropped(last)
     return at.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(at.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 

@@ -142,7 +142,7 @@ def scan(documents: DataFrame, owner: Column | None = None, repository: Column |
     salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")
     counted = ownership(some).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     each = some.select("row", salt.alias("salt"), F.explode("found").alias("f")).select("row", "salt", "f.*").join(counted, ["hash", "salt"])
-    rank = F.array_position(F.array(*map(F.lit, BASE)), F.col("kind")).cast("int")
+    rank = F.array_position(F.array(*map(F.lit, (*BASE, "generic"))), F.col("kind")).cast("int")
     judged = each.select(
         "row",
         F.struct("start", rank.alias("rank"), "kind", "stop", "owners", (F.col("random") & (F.col("owners") < EXAMPLE_OWNERS)).alias("live")).alias("one"),

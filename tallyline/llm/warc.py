@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bound_batches, new_folder, written
+from .common import bound_batches, dropped, new_folder, written
 
 REVISIT_BYTES = 1000
 CHUNK = 4 << 20
@@ -151,16 +151,19 @@ def candidates(spark, folder: str) -> DataFrame:
 
 def reachable(found: DataFrame) -> DataFrame:
     """Pointer jumping: (path, start) of the chunk entries that offset 0 leads
-    to. After round k, the first 2**k entries of each file are known and every
-    jump spans 2**k chunks."""
+    to. Before round k, the first 2**k entries of each file are known and every
+    jump spans 2**k of them."""
     jump = found.select("path", "start", "exit")
-    known = jump.where("start = 0")
+    known = jump.where("start = 0").select("path", "start")
     most = found.agg(F.max(F.ceil(F.col("size") / CHUNK))).first()[0] or 0
     for _ in range(math.ceil(math.log2(most)) if most > 1 else 0):
+        beyond = known.join(jump, ["path", "start"]).select("path", F.col("exit").alias("start"))
+        known, old = written(known.unionByName(beyond).distinct(), "warc-known"), known
         there = jump.select("path", F.col("start").alias("exit"), F.col("exit").alias("beyond"))
-        known = written(known.unionByName(known.join(there, ["path", "exit"]).select("path", F.col("exit").alias("start"), F.col("beyond").alias("exit"))), "warc-known")
-        jump = written(jump.join(there, ["path", "exit"], "left").select("path", "start", F.coalesce("beyond", "exit").alias("exit")), "warc-jump")
-    return known.select("path", "start").distinct()
+        jump, last = written(jump.join(there, ["path", "exit"], "left").select("path", "start", F.coalesce("beyond", "exit").alias("exit")), "warc-jump"), jump
+        dropped(old)
+        dropped(last)
+    return known
 
 
 _RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -170,7 +173,7 @@ def read_archives(spark, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every
     record on the chain; digests are those of the payloads as read, for revisits
     the header's."""
-    entries = written(reachable(candidates(spark, folder)), "warc-entries")
+    entries = reachable(candidates(spark, folder))
     few = entries.count() <= BROADCAST_ENTRIES
     entries = entries.groupBy("path").agg(F.collect_list("start").alias("entries"))
     # a file's chunks follow each other in its task; where they are joined by

@@ -170,6 +170,32 @@ def test_warc_chain_over_chunks(monkeypatch):
     assert [r["page_id"] for r in rows] == [0, 1, 2, 3]
 
 
+def test_pointer_jumping_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 100)
+    chains = {"a": list(range(0, 4000, 90)), "b": [0], "c": list(range(0, 950, 50)), "d": [0, 130, 260]}
+    rows = []
+    for path, starts in chains.items():
+        size = starts[-1] + 40
+        follow = dict(zip(starts, [*starts[1:], size], strict=True))
+        if path == "d":
+            follow[130] = 255  # a broken chain: nothing starts there
+        for s in starts:
+            x = follow[s]
+            while x in follow and x < (s // 100 + 1) * 100:
+                x = follow[x]
+            rows.append((path, size, s, x))
+        rows.append((path, size, 7, 63))  # magic inside a payload
+    found = spark.createDataFrame(rows, "path string, size long, start long, exit long")
+    entries = {(r.path, r.start) for r in warc.reachable(found).collect()} & {(p, s) for p, _, s, _ in rows}
+    want = set()
+    for path, size, *_ in {r[:2] for r in rows}:
+        at, leads = 0, {s: x for p, _, s, x in rows if p == path}
+        while at in leads:
+            want.add((path, at))
+            at = leads[at]
+    assert entries == want and ("d", 260) not in entries and len(entries) > 40
+
+
 def test_warc_query(spark, small):
     p = pd.read_parquet(f"{small}/pages.parquet")
     raw = p.html.fillna("").map(str.encode)
