@@ -7,14 +7,23 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.geometry import close
 from ..functions.text import NUMERIC_RATIO, is_number, money, number
+from ..sources.shared import written
 
 TOLERANCE = 0.05
 ROLES = ("c", "pu", "mtl")
 
 
+def valued(cells: DataFrame) -> DataFrame:
+    """cells with v, the number in the text, and numeric; as they are if they have
+    them already."""
+    if "v" in cells.columns:
+        return cells
+    return cells.select("doc_id", "row_id", "col_id", "text", number(F.col("text")).alias("v"), is_number(F.col("text")).alias("numeric"))
+
+
 def column_types(cells: DataFrame, ratio: float = NUMERIC_RATIO) -> DataFrame:
     """doc_id, col_id, semantic_type, q: the place among quantitative columns."""
-    each = cells.groupBy("doc_id", "col_id").agg(F.avg(is_number(F.col("text")).cast("double")).alias("share"))
+    each = valued(cells).groupBy("doc_id", "col_id").agg(F.avg(F.col("numeric").cast("double")).alias("share"))
     typed = each.withColumn("semantic_type", F.when(F.col("share") >= ratio, "cuantitativo").otherwise("texto"))
     place = F.row_number().over(W.partitionBy("doc_id", "semantic_type").orderBy("col_id"))
     return typed.select("doc_id", "col_id", "semantic_type", F.when(F.col("semantic_type") == "cuantitativo", place).alias("q"))
@@ -31,7 +40,7 @@ def valid(c: Column, pu: Column, mtl: Column, axioms: str) -> Column:
 def role_votes(cells: DataFrame, types: DataFrame, axioms: str = "coded") -> DataFrame:
     """doc_id, c, pu, mtl (column ids), score. A row with one valid assignment
     gives it a vote, one with two gives each half a vote, one with more none."""
-    values = cells.join(types.where("q IS NOT NULL").select("doc_id", "col_id"), ["doc_id", "col_id"]).select("doc_id", "row_id", "col_id", number(F.col("text")).alias("v")).where("v IS NOT NULL")
+    values = valued(cells).where("v IS NOT NULL").join(types.where("q IS NOT NULL").select("doc_id", "col_id"), ["doc_id", "col_id"]).select("doc_id", "row_id", "col_id", "v")
     # a row's values lie in one array: no join is needed to pair them
     rows = values.groupBy("doc_id", "row_id").agg(F.array_sort(F.collect_list(F.struct("col_id", "v"))).alias("a"))
     c = rows.select("doc_id", "row_id", "a", F.explode("a").alias("c"))
@@ -56,12 +65,12 @@ def corrected(cells: DataFrame, types: DataFrame, winner: DataFrame, keep_fills:
     follows from the others; where all are there but disagree, the one farthest
     from its column's median does. keep_fills=False puts the original text back
     into cells that were no numbers. Documents without a winner stay as they are."""
+    cells = valued(cells)
     quant = cells.join(types.where("q IS NOT NULL").select("doc_id", "col_id"), ["doc_id", "col_id"]).join(winner, "doc_id")
-    valued = quant.withColumn("v", number(F.col("text")))
     role = F.when(F.col("col_id") == F.col("c"), "c").when(F.col("col_id") == F.col("pu"), "pu").when(F.col("col_id") == F.col("mtl"), "mtl")
-    valued = valued.withColumn("role", role)
-    wide = valued.groupBy("doc_id", "row_id").agg(*[F.max(F.when(F.col("role") == r, F.col("v"))).alias(f"v_{r}") for r in ROLES])
-    medians = valued.groupBy("doc_id").agg(*[F.percentile(F.when(F.col("role") == r, F.col("v")), F.lit(0.5)).alias(f"m_{r}") for r in ROLES])
+    placed = quant.withColumn("role", role)
+    wide = placed.groupBy("doc_id", "row_id").agg(*[F.max(F.when(F.col("role") == r, F.col("v"))).alias(f"v_{r}") for r in ROLES])
+    medians = placed.groupBy("doc_id").agg(*[F.percentile(F.when(F.col("role") == r, F.col("v")), F.lit(0.5)).alias(f"m_{r}") for r in ROLES])
     c, pu, mtl = (F.col(f"v_{r}") for r in ROLES)
     off = {r: F.abs(F.col(f"v_{r}") - F.col(f"m_{r}")) for r in ROLES}
     most = F.greatest(*off.values())
@@ -75,9 +84,9 @@ def corrected(cells: DataFrame, types: DataFrame, winner: DataFrame, keep_fills:
         F.when((broken & ~moves_c & ~moves_pu) | mtl.isNull(), F.coalesce(c * pu, mtl)).otherwise(mtl).alias("mtl"),
     )
     long = fixed.select("doc_id", "row_id", F.expr("stack(3, 'c', c, 'pu', pu, 'mtl', mtl) AS (role, fixed)"))
-    done = valued.join(long, ["doc_id", "row_id", "role"], "left").select("doc_id", "row_id", "col_id", F.coalesce("fixed", F.when(F.col("role").isNull(), F.col("v"))).alias("value"))
+    done = placed.join(long, ["doc_id", "row_id", "role"], "left").select("doc_id", "row_id", "col_id", F.coalesce("fixed", F.when(F.col("role").isNull(), F.col("v"))).alias("value"))
     out = cells.join(done, ["doc_id", "row_id", "col_id"], "left")
-    stays = F.col("value").isNull() if keep_fills else F.col("value").isNull() | ~is_number(F.col("text"))
+    stays = F.col("value").isNull() if keep_fills else F.col("value").isNull() | ~F.col("numeric")
     return out.select("doc_id", "row_id", "col_id", F.when(stays, F.col("text")).otherwise(money(F.col("value"))).alias("text"))
 
 
@@ -89,8 +98,12 @@ def semantic_types(types: DataFrame, winner: DataFrame) -> DataFrame:
 
 
 def reconcile(cells: DataFrame, axioms: str = "coded", keep_fills: bool = False) -> DataFrame:
-    types = column_types(cells)
-    return corrected(cells, types, role_winner(role_votes(cells, types, axioms), types), keep_fills)
+    """All of the above. The parsed cells, the types and the roles are read more
+    than once, so they are written where they are made."""
+    cells = written(valued(cells), "valued")
+    types = written(column_types(cells), "types")
+    winner = written(role_winner(role_votes(cells, types, axioms), types), "roles")
+    return corrected(cells, types, winner, keep_fills)
 
 
 def totals(details: DataFrame, stated: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

@@ -49,4 +49,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     lies before."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the table behind a result of `written` that nothing reads any more."""
+    path = getattr(df, "_written_at", None)
+    if path:
+        remove(df.sparkSession, path)
