@@ -8,12 +8,12 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.shared import dropped, new_folder, written  # noqa: F401
+from ..sources.shared import dropped, new_folder, written
+
+__all__ = ["bound_batches", "by_batch", "cached_by", "claim", "dropped", "hashed_sample", "new_folder", "table", "written"]
 
 #: Rows and bytes of one Arrow batch that Python sees; a bound for a task's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
-#: White space that separates words in every operator here.
-SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

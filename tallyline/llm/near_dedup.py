@@ -39,7 +39,6 @@ null component; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd

@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
