@@ -117,4 +117,30 @@ wc AS (SELECT doc_id, item_id, start, m, s, count(*) AS c FROM starts JOIN dsh U
 o AS (SELECT doc_id, item_id, start, any_value(wc.m) AS m, sum(wc.c) AS size, sum(least(wc.c, coalesce(ic.c, 0))) AS common FROM wc LEFT JOIN ic USING (item_id, s) GROUP BY ALL),
 r AS (SELECT doc_id, item_id, start, common::DOUBLE / (m + size - common) AS similarity FROM o)
 SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, (-similarity, start)) AS start FROM r WHERE similarity >= 0.8 GROUP BY ALL"""
-SQL = {"op4_urls": _url_sql(), "op7_decontamination": _LEAKS}
+#: All pairs that share a shingle, and their components.
+_NEAR = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY ALL),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+sym AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT doc_id, doc_id AS to_id FROM d UNION SELECT reach.doc_id, sym.y FROM reach JOIN sym ON sym.x = reach.to_id),
+c AS (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+#: What the archives must hold.
+_WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages), d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS last FROM d WHERE payload_bytes >= {warc.REVISIT_BYTES} GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)"""
+_CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(i)),
+f AS (SELECT *, CASE WHEN contains(text, '###') OR contains(text, '</turn>') THEN regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g') ELSE text END AS body FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ' || role || '|0: ' || body || '</turn>') + 1) AS formatted_chars
+FROM f GROUP BY conv_id"""
+SQL = {"op3_near_duplicates": _NEAR, "op4_urls": _url_sql(), "op7_decontamination": _LEAKS, "op8_warc": _WARC, "op9_chat": _CHAT}
