@@ -39,8 +39,8 @@ LENGTH, END_ID = 4096, 2
 GROUP = 8192
 #: Chunks that a worker remembers.
 KNOWN = 2_000_000
-#: One word, or a word and a mark: one or two words to the tokenizer.
-PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,|*])?")
+#: A word, and marks other than an apostrophe: one or two words to the tokenizer.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([!-&(-/:-@\\[-`{-~]+)?")
 
 
 class Encoder:
@@ -69,19 +69,17 @@ class Encoder:
         self.starts = np.zeros(1, np.int64)
 
     def learn(self, new: list[str]) -> None:
-        plain, words, other = [], [], []
-        for chunk in new:
-            m = self.plain.fullmatch(chunk) if self.plain else None
-            if m:
-                plain.append(chunk)
-                words.append(2 if m[1] else 1)
-            else:
-                other.append(chunk)
+        match = self.plain.fullmatch if self.plain else lambda chunk: None
+        found = list(map(match, new))
+        plain = [m[0] for m in found if m]
+        words = [1 if m.end(1) < 0 else 2 for m in found if m]
+        other = [c for c, m in zip(new, found, strict=True) if not m]
         parts, sizes = [], []
-        for i in range(0, len(plain), 512):
-            ids = np.array(self.tokenizer.encode(" ".join(plain[i : i + 512]), add_special_tokens=False).ids, np.uint32)
+        joined = [" ".join(plain[i : i + 512]) for i in range(0, len(plain), 512)]
+        for i, made in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) if joined else ()):
+            ids = np.array(made.ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum(words[i : i + 512]) - 1
+            last = np.cumsum(words[512 * i : 512 * (i + 1)]) - 1
             if len(stops) != last[-1] + 1:
                 raise AssertionError("words and word ends differ")
             parts.append(ids)
