@@ -50,17 +50,21 @@ def sharpness(pixels: DataFrame) -> DataFrame:
 
 
 def salt_pepper(pixels: DataFrame) -> DataFrame:
-    """Extreme pixels none of whose four neighbours is extreme: their number and
-    share, the image's band by area, and the kernel that would remove them."""
+    """Pixels at or beyond the 1st and 99th percentiles: their share, how many
+    have no other such pixel around them (those on the border have), and the
+    median's size where they should go, by the image's area."""
     row, col = W.partitionBy("img_id", "y").orderBy("x"), W.partitionBy("img_id", "x").orderBy("y")
-    e = ((F.col("v") <= 0) | (F.col("v") >= 255)).cast("int")
-    marked = pixels.withColumn("e", e)
-    near = lambda f, w: F.coalesce(f("e").over(w), F.lit(0))
-    alone = marked.select("img_id", "e", (near(F.lag, row) + near(F.lead, row) + near(F.lag, col) + near(F.lead, col)).alias("k"))
-    each = alone.groupBy("img_id").agg(F.count("*").alias("area"), F.avg("e").alias("share"), F.sum(((F.col("e") == 1) & (F.col("k") == 0)).cast("int")).alias("isolated"))
-    share = F.when(F.col("area") < 1000, 0.06).when(F.col("area") < 10_000, 0.03).otherwise(0.015)
-    number = F.when(F.col("area") < 1000, 10).when(F.col("area") < 10_000, 20).otherwise(30)
-    return each.select("img_id", "isolated", "share", F.when((F.col("share") > share) & (F.col("isolated") >= number), F.when(F.col("area") < 10_000, 3).otherwise(5)).otherwise(0).alias("kernel"))
+    ends = pixels.groupBy("img_id").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.99))).alias("p"))
+    low, high = F.floor(F.greatest(F.lit(0.0), F.get("p", F.lit(0)))), F.floor(F.least(F.lit(255.0), F.get("p", F.lit(1))))
+    marked = pixels.join(ends, "img_id").withColumn("e", ((F.col("v") <= low) | (F.col("v") >= high)).cast("int"))
+    across = marked.withColumn("s", F.lag("e").over(row) + F.col("e") + F.lead("e").over(row))
+    around = across.withColumn("k", F.lag("s").over(col) + F.col("s") + F.lead("s").over(col))
+    each = around.groupBy("img_id").agg(
+        F.count("*").alias("area"), F.avg("e").alias("share"), F.sum(((F.col("e") == 1) & (F.coalesce("k", F.lit(9)) <= 1)).cast("int")).alias("isolated"), (F.least(F.max("x") - F.min("x"), F.max("y") - F.min("y")) + 1).alias("side")
+    )
+    band = lambda a, b, c: F.when(F.col("area") < 2000, a).when(F.col("area") < 10_000, b).otherwise(c)
+    size = F.greatest(band(3, 3, 5), F.when(F.col("side") >= 50, 5).otherwise(3))
+    return each.select("img_id", "isolated", "share", F.when((F.col("share") > band(0.06, 0.03, 0.015)) & (F.col("isolated") >= band(10, 20, 30)), size).otherwise(0).alias("kernel"))
 
 
 def otsu(pixels: DataFrame) -> DataFrame:

@@ -155,7 +155,6 @@ SELECT doc_id, row_id, col_id::INT AS col_id, coalesce(text, '') AS text FROM gr
 _PIXELS = "px AS (SELECT img_id, (i // 8)::INT AS y, (i % 8)::INT AS x, least(255.0, greatest(0.0, floor((e::DOUBLE + 0.5) * 255)))::DOUBLE AS v FROM (SELECT vec_id AS img_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS e FROM embeddings))"
 _PSTATS = f"""WITH {_PIXELS}, sh AS (SELECT img_id, v, count(*) AS k FROM px GROUP BY ALL), pe AS (SELECT img_id, -sum(p * log2(p + 1e-8)) AS entropy FROM (SELECT img_id, k / sum(k) OVER (PARTITION BY img_id) AS p FROM sh) GROUP BY ALL),
 ps AS (SELECT img_id, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std, var_pop(v) AS var, max(v) - min(v) AS dyn_range, avg((v <= 0 OR v >= 255)::INT) AS extremes, quantile_cont(v, 0.01) AS p1, quantile_cont(v, 0.99) AS p99 FROM px GROUP BY ALL)"""
-_NEIGHBOURS = """nb AS (SELECT *, coalesce(lag(e) OVER r, 0) + coalesce(lead(e) OVER r, 0) + coalesce(lag(e) OVER c, 0) + coalesce(lead(e) OVER c, 0) AS k FROM (SELECT *, (v <= 0 OR v >= 255)::INT AS e FROM px) WINDOW r AS (PARTITION BY img_id, y ORDER BY x), c AS (PARTITION BY img_id, x ORDER BY y))"""
 
 _LETTERS_SQL = "CASE c {} ELSE ln(0.001) END"
 
@@ -211,7 +210,10 @@ SELECT o_orderkey, code, (CASE WHEN regexp_matches(t, '^[A-ZÑ&]{{3,4}}[0-9]{{6}
   sum((b.x - a.x) * (2 - abs(b.y - a.y)) * b.v) AS gx, sum((b.y - a.y) * (2 - abs(b.x - a.x)) * b.v) AS gy FROM px a JOIN px b ON a.img_id = b.img_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.x BETWEEN 1 AND 6 AND a.y BETWEEN 1 AND 6 GROUP BY a.img_id, a.y, a.x, a.v),
 eg AS (SELECT img_id, var_pop(lap) AS focus, avg(sqrt(gx * gx + gy * gy)) AS gradient FROM n9 GROUP BY ALL), vr AS (SELECT img_id, var_pop(v) AS var FROM px GROUP BY ALL)
 SELECT img_id, {_r('focus', 'gradient')}, focus < 80 AS smooth, gradient < greatest(30.0, 0.5 * var) AS sharpen FROM eg JOIN vr USING (img_id)""",
-    "salt_pepper": f"""WITH {_PIXELS}, {_NEIGHBOURS}, ag AS (SELECT img_id, count(*) AS area, avg(e) AS share, sum((e = 1 AND k = 0)::INT) AS isolated FROM nb GROUP BY ALL)
+    "salt_pepper": f"""WITH {_PIXELS}, en AS (SELECT img_id, floor(greatest(0, quantile_cont(v, 0.01))) AS lo, floor(least(255, quantile_cont(v, 0.99))) AS hi FROM px GROUP BY ALL),
+ex AS (SELECT px.*, (v <= lo OR v >= hi)::INT AS e FROM px JOIN en USING (img_id)),
+nb AS (SELECT a.img_id, a.y, a.x, a.e, sum(b.e) AS k, count(*) AS c FROM ex a JOIN ex b ON a.img_id = b.img_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 GROUP BY ALL),
+ag AS (SELECT img_id, avg(e) AS share, sum((e = 1 AND c = 9 AND k <= 1)::INT) AS isolated FROM nb GROUP BY ALL)
 SELECT img_id, isolated, round(share, 6) AS share, (CASE WHEN share > 0.06 AND isolated >= 10 THEN 3 ELSE 0 END)::INT AS kernel FROM ag""",
     "otsu_binarized": f"""WITH {_PIXELS}, hs AS (SELECT img_id, v, count(*) AS k FROM px GROUP BY ALL), cm AS (SELECT img_id, v, sum(k) OVER b AS n0, sum(k * v) OVER b AS s0, sum(k) OVER w AS n, sum(k * v) OVER w AS s FROM hs WINDOW b AS (PARTITION BY img_id ORDER BY v), w AS (PARTITION BY img_id)),
 bt AS (SELECT img_id, v, round(n0 * (n - n0) * (s0 / n0 - (s - s0) / nullif(n - n0, 0)) ** 2 / (n * n), 6) AS b FROM cm), th AS (SELECT img_id, v AS t FROM (SELECT *, row_number() OVER (PARTITION BY img_id ORDER BY b DESC NULLS LAST, v) AS r FROM bt) WHERE r = 1)

@@ -192,7 +192,9 @@ def test_pixels(spark):
     df = spark.createDataFrame([(1, y, x, 255.0 if (y, x) == (1, 1) else 10.0) for y in range(3) for x in range(3)], "img_id long, y int, x int, v double")
     s = pixels.stencils(df).collect()
     assert [(r.y, r.x, r.laplacian, r.gx, r.gy) for r in s] == [(1, 1, -980.0, 0.0, 0.0)]
-    assert pixels.salt_pepper(df).first().isolated == 1 and pixels.otsu(df).first().threshold == 10.0
+    assert pixels.otsu(df).first().threshold == 10.0
+    wide = spark.createDataFrame([(1, y, x, 255.0 if (y, x) in ((5, 5), (0, 3)) else 90.0 + x) for y in range(20) for x in range(20)], "img_id long, y int, x int, v double")
+    assert pixels.salt_pepper(wide).first().isolated == 1
     angles = spark.createDataFrame([(1, -20.0), (1, 3.0), (1, 5.0), (1, 90.0), (2, 40.0)], "img_id long, angle double")
     assert {r.img_id: (r.angle, r["rotate"]) for r in pixels.median_angle(angles).collect()} == {1: (4.0, True), 2: (0.0, False)}
 
