@@ -24,10 +24,6 @@ NUMBER = r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE]
 NAMED = r"^[+-]?(nan|inf|infinity)$"
 
 
-def code_map() -> Column:
-    return F.create_map(*[x for i, c in enumerate(DENSITY) for x in (F.lit(c), F.lit(i))])
-
-
 def compact(text: Column) -> Column:
     """text without any white space, no-break spaces included."""
     return F.regexp_replace(text, r"(?U)\s+", "")
@@ -35,8 +31,8 @@ def compact(text: Column) -> Column:
 
 def encode(text: Column) -> Column:
     """Codes of the characters of text; unknown ones are 0."""
-    codes = code_map()
-    return F.transform(F.filter(F.split(compact(text), ""), lambda c: c != ""), lambda c: F.coalesce(F.try_element_at(codes, c), F.lit(0)))
+    chars = F.filter(F.split(compact(text), ""), lambda c: c != "")
+    return F.transform(chars, lambda c: F.greatest(F.position(c, F.lit(DENSITY)) - 1, F.lit(0)))
 
 
 def stripped(value: Column) -> Column:

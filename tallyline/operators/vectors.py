@@ -10,14 +10,15 @@ from ..functions.text import char_type, encode
 def profiles(words: DataFrame, keys: list[str]) -> DataFrame:
     """Numbers and shares of letters, digits and marks, the mean code, and the
     word as a string of the types."""
-    kinds = F.transform("codes", char_type)
-    coded = words.select(*keys, encode(F.col("text")).alias("codes")).where("size(codes) > 0")
+    # explode of one element: the codes and the types are computed once
+    coded = words.select(*keys, F.explode(F.array(encode(F.col("text")))).alias("codes")).where("size(codes) > 0")
+    coded = coded.select(*keys, "codes", F.explode(F.array(F.transform("codes", char_type))).alias("kinds"))
     n = F.size("codes")
-    count = lambda k: F.size(F.filter(kinds, lambda x: x == k))
+    count = lambda k: F.size(F.filter("kinds", lambda x: x == k))
     return coded.select(
         *keys, n.alias("n_chars"), count("a").alias("n_letters"), count("n").alias("n_digits"), count("e").alias("n_marks"),
         (count("a") / n).alias("letters"), (count("n") / n).alias("digits"), (count("e") / n).alias("marks"),
-        (F.aggregate("codes", F.lit(0.0), lambda a, c: a + c) / n).alias("mean_code"), F.array_join(kinds, "").alias("profile"),
+        (F.aggregate("codes", F.lit(0.0), lambda a, c: a + c) / n).alias("mean_code"), F.array_join("kinds", "").alias("profile"),
     )
 
 
