@@ -4,7 +4,8 @@ A writer's word went through a channel that swaps letters for look-alikes,
 repeats them, and puts marks or spaces between them. `Decoder` undoes it: what
 is unusual about a token spans a lattice of readings, and Viterbi's algorithm
 finds the likeliest one under a character language model (ORDER symbols, counted
-over all texts of the corpus). Plain words are their own reading.
+over all texts of the corpus). Plain words are their own reading. A run of spaced
+characters is one lattice, in which every white space ends a word or is dropped.
 
 The classifier looks at restored words. Words and word beginnings that labelled
 toxic documents hold far more often than clean ones are evidence, weighted by
@@ -54,13 +55,18 @@ LOOKS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "#": "h", "€": "e", "£": "l", "¡": "i",
 }
-SWAPPED, REPEATED, DROPPED, HIDDEN, KEPT = 0.7, 0.7, 1.0, 4.0, 3.0
+SWAPPED, REPEATED, DROPPED, HIDDEN, KEPT, JOINED = 0.7, 0.7, 1.0, 4.0, 3.0, 0.1
 MARKS = "*.-_~'`^,:;\"?!&%#=/\\()[]{}<>+|$@"
 
 PLAIN = re.compile(r"[^\W\d_]+")
 WRAPPED = re.compile(r"[^\w$@!|+(<#]*([^\W\d_]{4,}|[^\W\d_]+(?=[.,;:?)\]'\"*%&#]*$))[^\w]*")
 THRICE = re.compile(r"([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*~|]{1,2}[\w@$!|+*]){2,}(?!\S)|(?<!\S)[@$!|+](?:[ .\-_*~]{1,2}[\w@$!|+*]){2,}(?!\S)")
+#: A short token: single characters with marks around and between them. A run of
+#: three or more, with any white space, is one lattice; white space in it is an
+#: arc that is dropped or kept as the end of a word.
+SHORT = r"(?:_|[^\w\s]){0,3}(?:[^\W_](?:(?:_|[^\w\s]){1,2}[^\W_])*)?(?:_|[^\w\s]){0,3}(?!\S)"
+RUN = re.compile(rf"(?<!\S)(?=\S){SHORT}(?:\s+(?=\S){SHORT}){{2,}}")
+READ = re.compile(rf"[^\W_]|[{re.escape(''.join(LOOKS))}]")
 
 
 def _symbol_table() -> np.ndarray:
@@ -126,26 +132,35 @@ class Decoder:
         self.model = model
 
     def viterbi(self, token: str) -> str:
-        """The likeliest reading; a state is the last ORDER - 1 symbols."""
-        best: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        """The likeliest reading; a state is the last ORDER - 1 symbols. Outputs
+        are linked (last symbol, those before), so long tokens cost no copies."""
+        best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         wrap, before = SYMBOLS ** (ORDER - 1), ""
         for c in token:
             arcs = [*self._arcs(c)]
             if c == before:
                 arcs.append(("", REPEATED))
-            before, after = c, {}
+            if c != " ":
+                before = c
+            after = {}
             for state, (score, out) in best.items():
-                for letter, cost in arcs:
+                for letter, cost in arcs if c != " " or state % SYMBOLS else (("", 0.0),):
                     if letter:
-                        s = ord(letter) - 96 if letter.isascii() else OTHER
+                        s = 0 if letter == " " else ord(letter) - 96 if letter.isascii() else OTHER
                         gram = state * SYMBOLS + s
-                        value, to, text = score - cost + float(self.model[gram]), gram % wrap, out + letter
+                        value, to, text = score - cost + float(self.model[gram]), gram % wrap, (letter, out)
                     else:
                         value, to, text = score - cost, state, out
                     if to not in after or value > after[to][0]:
                         after[to] = (value, text)
             best = after
-        return max(((score + float(self.model[state * SYMBOLS]), out) for state, (score, out) in best.items()), default=(0, ""))[1]
+        # a word that has ended needs no other end
+        ends = ((score + (float(self.model[state * SYMBOLS]) if state % SYMBOLS or out is None else 0.0), out) for state, (score, out) in best.items())
+        out, read = max(ends, key=lambda x: x[0], default=(0.0, None))[1], []
+        while out is not None:
+            letter, out = out
+            read.append(letter)
+        return "".join(reversed(read)).rstrip()
 
     @staticmethod
     def _arcs(c: str) -> Iterator[tuple[str, float]]:
@@ -153,6 +168,10 @@ class Decoder:
         if "a" <= base <= "z":
             yield base, 0.0
             return
+        if c == " ":
+            yield " ", 0.0
+            yield "", JOINED
+            return
         for letter in LOOKS.get(c, ""):
             yield letter, SWAPPED
         if c == "*":
@@ -174,18 +193,34 @@ class Decoder:
             return m[1]
         return self.viterbi(token)
 
+    def run(self, run: str) -> str | None:
+        """The words that a run of short tokens spells; None if too few of its
+        tokens can be letters."""
+        tokens = run.split()
+        if len(tokens) > 2 and sum(READ.search(t) is not None for t in tokens) > 1 and sum("*" in t or READ.search(t) is not None for t in tokens) > 2:
+            return self.viterbi(" ".join(tokens))
+        return None
+
     def tokens(self, text: str) -> tuple[set[str], set[str], int]:
-        """The distinct lower-case tokens, the runs of spaced characters joined,
-        and the number of tokens."""
+        """The distinct lower-case tokens, the words that runs of short tokens
+        spell, and the number of tokens."""
         lower = text.lower()
         each = lower.split()
-        spaced = {re.sub(r"[ ]", "", m[0]) for m in SPACED.finditer(lower)}
+        spaced = {w for r in {m[0] for m in RUN.finditer(lower)} for w in (self.run(r) or "").split()}
         return set(each), spaced, len(each)
 
     def restore(self, text: str) -> str:
         """The whole text, lower-case, with every token restored."""
-        joined = SPACED.sub(lambda m: re.sub(r"[ ]", "", m[0]), text.lower())
-        return re.sub(r"\S+", lambda m: self.word(m[0]), joined)
+
+        def words(part: str) -> str:
+            return re.sub(r"\S+", lambda m: self.word(m[0]), part)
+
+        lower, done, parts = text.lower(), 0, []
+        for m in RUN.finditer(lower):
+            spelt = self.run(m[0])
+            parts += [words(lower[done : m.start()]), words(m[0]) if spelt is None else spelt]
+            done = m.end()
+        return "".join([*parts, words(lower[done:])])
 
 
 def pieces(word: str) -> Iterator[str]:

@@ -159,6 +159,32 @@ def test_deobfuscation(decoder):
     assert decoder.restore("That i d i o t and tr@sh") == "that idiot and trash"
 
 
+def test_spaced_runs():
+    words = "the you are say now that moron idiot a i and trash with".split()
+    counts = np.zeros(toxicity.SYMBOLS**toxicity.ORDER)
+    for i in range(400):
+        np.add.at(counts, toxicity.grams(" ".join(words[(i * 7 + k * k + k) % len(words)] for k in range(12))), 1)
+    d = toxicity.Decoder(toxicity.language_model(counts))
+    for raw, word in {
+        "m o r o n": "moron",
+        "i d i o t.": "idiot",
+        "a i d i o t.": "a idiot",
+        "a i d i o t now": "a idiot now",
+        "a m o r o n i say": "a moron i say",
+        "y o u i d i o t": "you idiot",
+        "i   d   i   o   t": "idiot",
+        "i\td\ti\to\tt": "idiot",
+        "i\nd\r\ni\no\nt": "idiot",
+        "1 d ! 0 t !": "idiot",
+        "i - d - i - o - t": "idiot",
+        "i.d i.o t": "idiot",
+        "- - - now": "- - - now".replace("-", ""),
+    }.items():
+        assert d.restore(raw).split() == word.split(), raw
+        assert {w for w in word.split() if len(w) > 3} <= set().union(*d.tokens(raw)[:2]), raw
+    assert d.restore("i d i o t " * 20_000).split() == ["idiot"] * 20_000
+
+
 def test_language_model_sums_to_one(decoder):
     p = np.exp(decoder.model.astype(float)).reshape(-1, toxicity.SYMBOLS).sum(1)
     assert np.abs(p - 1).max() < 1e-4
