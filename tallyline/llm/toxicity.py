@@ -4,7 +4,9 @@ A writer's word went through a channel that swaps letters for look-alikes,
 repeats them, and puts marks or spaces between them. `Decoder` undoes it: what
 is unusual about a token spans a lattice of readings, and Viterbi's algorithm
 finds the likeliest one under a character language model (ORDER symbols, counted
-over all texts of the corpus). Plain words are their own reading. A run of spaced
+over all texts of the corpus). Where the lattice has a single reading (letters
+without doubled ones, accents taken off, between marks that are no look-alikes),
+that is the word. The letters as written stay evidence beside the restored word. A run of spaced
 characters is one lattice, in which every white space ends a word or is dropped.
 
 The classifier looks at restored words. Words and word beginnings that labelled
@@ -58,9 +60,15 @@ LOOKS = {
 SWAPPED, REPEATED, DROPPED, HIDDEN, KEPT, JOINED = 0.7, 0.7, 1.0, 4.0, 3.0, 0.1
 MARKS = "*.-_~'`^,:;\"?!&%#=/\\()[]{}<>+|$@"
 
-PLAIN = re.compile(r"[^\W\d_]+")
-WRAPPED = re.compile(r"[^\w$@!|+(<#]*([^\W\d_]{4,}|[^\W\d_]+(?=[.,;:?)\]'\"*%&#]*$))[^\w]*")
-THRICE = re.compile(r"([^\W\d_])\1\1")
+#: Letters between marks, and such tokens whose marks have no other reading.
+LETTERS = re.compile(r"[^\w]*([^\W\d_]+)[^\w]*")
+_SURE = rf"[^\w*{re.escape(''.join(LOOKS))}]*"
+WRAPPED = re.compile(rf"{_SURE}([^\W\d_]+){_SURE}")
+DOUBLED = re.compile(r"([^\W\d_])\1")
+#: Distinct runs of marks at tokens' ends that a decoder remembers.
+ENDINGS = 64
+#: States from which on a hidden letter is looked for in all states at once.
+MANY = 100
 #: A short token: single characters with marks around and between them. A run of
 #: three or more, with any white space, is one lattice; white space in it is an
 #: arc that is dropped or kept as the end of a word.
@@ -130,18 +138,59 @@ class Decoder:
 
     def __init__(self, model: np.ndarray) -> None:
         self.model = model
+        self.endings: dict[str, tuple[np.ndarray, list]] = {}
+        states = np.arange(SYMBOLS ** (ORDER - 1))
+        # a word that has ended needs no other end
+        self.ends = np.where((states % SYMBOLS == 0) & (states > 0), 0, model[states * SYMBOLS]).astype(np.float32)
+
+    def ending(self, marks: str) -> tuple[np.ndarray, list]:
+        """Of every state, the value of the best reading of marks up to the
+        token's end; and for each mark the symbol read there (0: none)."""
+        if marks not in self.endings:
+            if len(self.endings) >= ENDINGS:
+                self.endings.clear()
+            value, chosen, states = self.ends, [], np.arange(len(self.ends))
+            for i in range(len(marks) - 1, -1, -1):
+                c = marks[i]
+                if chosen and c == marks[i + 1] and not any_read and i and marks[i - 1] == c:
+                    # no state reads a letter here, so none does one mark before
+                    value, chosen = value - REPEATED, [*chosen, chosen[-1]]
+                    continue
+                arcs = [*self._arcs(c)] + [("", REPEATED)] * (i > 0 and marks[i - 1] == c)
+                found, read = np.full(len(states), -np.inf, np.float32), np.zeros(len(states), np.int8)
+                for letter, cost in arcs:
+                    n = ord(letter) - 96 if letter else 0
+                    gram = states * SYMBOLS + n
+                    v = self.model[gram] + value[gram % len(states)] - cost if n else value - cost
+                    read = np.where(v > found, n, read).astype(np.int8)
+                    found = np.maximum(v, found)
+                any_read = bool(read.any())
+                value = found
+                chosen.append(read)
+            self.endings[marks] = value, chosen[::-1]
+        return self.endings[marks]
 
     def viterbi(self, token: str) -> str:
         """The likeliest reading; a state is the last ORDER - 1 symbols. Outputs
         are linked (last symbol, those before), so long tokens cost no copies."""
         best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         wrap, before = SYMBOLS ** (ORDER - 1), ""
-        for c in token:
+        core = token
+        if "*" in token:
+            n = len(token)
+            while n and not (token[n - 1].isalnum() or token[n - 1] in "_ "):
+                n -= 1
+            core = token[:n] if "*" in token[n:] else token
+        rest, chosen = self.ending(token[len(core) :]) if core != token else (self.ends, [])
+        for c in core:
             arcs = [*self._arcs(c)]
             if c == before:
                 arcs.append(("", REPEATED))
             if c != " ":
                 before = c
+            if c == "*" and len(best) > MANY:
+                best = self._hidden(best, arcs[-1][1])
+                continue
             after = {}
             for state, (score, out) in best.items():
                 for letter, cost in arcs if c != " " or state % SYMBOLS else (("", 0.0),):
@@ -154,13 +203,32 @@ class Decoder:
                     if to not in after or value > after[to][0]:
                         after[to] = (value, text)
             best = after
-        # a word that has ended needs no other end
-        ends = ((score + (float(self.model[state * SYMBOLS]) if state % SYMBOLS or out is None else 0.0), out) for state, (score, out) in best.items())
-        out, read = max(ends, key=lambda x: x[0], default=(0.0, None))[1], []
+        _, state, out = max(((score + float(rest[state]), state, out) for state, (score, out) in best.items()), key=lambda x: x[0])
+        read = []
         while out is not None:
             letter, out = out
             read.append(letter)
-        return "".join(reversed(read)).rstrip()
+        read.reverse()
+        for symbol in chosen:
+            if n := int(symbol[state]):
+                read.append(chr(96 + n))
+                state = (state * SYMBOLS + n) % wrap
+        return "".join(read).rstrip()
+
+    def _hidden(self, best: dict, drop: float) -> dict:
+        """The step of viterbi for a mark that may hide any letter."""
+        scores = np.full(len(self.ends), -np.inf)
+        scores[[*best]] = [score for score, _ in best.values()]
+        v = scores[:, None] + self.model.reshape(-1, SYMBOLS)[:, 1:27] - HIDDEN
+        v = v.reshape(SYMBOLS, -1, 26)
+        come, v = v.argmax(0), v.max(0)
+        after = {state: (score - drop, out) for state, (score, out) in best.items()}
+        shorter = SYMBOLS ** (ORDER - 2)
+        for n, k in np.argwhere(v > -np.inf).tolist():
+            value, to = float(v[n, k]), n * SYMBOLS + k + 1
+            if to not in after or value > after[to][0]:
+                after[to] = (value, (chr(97 + k), best[int(come[n, k]) * shorter + n][1]))
+        return after
 
     @staticmethod
     def _arcs(c: str) -> Iterator[tuple[str, float]]:
@@ -184,15 +252,25 @@ class Decoder:
         else:
             yield "", KEPT
 
+    @classmethod
+    def folded(cls, letters: str) -> str:
+        """Letters as they are in the lattice: without accents."""
+        return letters if letters.isascii() else "".join(next(cls._arcs(c))[0] for c in letters)
+
     def word(self, token: str) -> str:
         """The restored word of a lower-case token."""
-        if PLAIN.fullmatch(token) and not THRICE.search(token):
-            return token
         m = WRAPPED.fullmatch(token)
-        if m and not THRICE.search(m[1]):
-            return m[1]
+        if m and not DOUBLED.search(m[1]):
+            return self.folded(m[1])
         return self.viterbi(token)
 
+    def readings(self, token: str) -> tuple[str, ...]:
+        """The restored word, and the letters as they are written."""
+        if token.isascii() and token.isalpha() and not DOUBLED.search(token):
+            return (token,)
+        word, m = self.word(token), LETTERS.fullmatch(token)
+        return (word, m[1]) if m and m[1] != word else (word,)
+
     def run(self, run: str) -> str | None:
         """The words that a run of short tokens spells; None if too few of its
         tokens can be letters."""
@@ -251,7 +329,15 @@ class _Weights(dict):
 
     def __missing__(self, token: str) -> float:
         get = self.evidence.get
-        found = max((get(p, 0.0) for p in pieces(self.decoder.word(token))), default=0.0)
+        found = 0.0
+        for word in self.decoder.readings(token):
+            size = len(word)
+            if size >= 3:  # pieces(word), spelt out
+                found = max(found, get("=" + word, 0.0))
+                for n in PREFIXES:
+                    if n >= size:
+                        break
+                    found = max(found, get(word[:n], 0.0))
         self[token] = found
         return found
 
@@ -332,8 +418,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
             each, spaced, _ = decoder.tokens(text or "")
             for t in each | spaced:
                 if t not in memo:
-                    memo[t] = decoder.word(t)
-            return {memo[t] for t in each | spaced}
+                    memo[t] = decoder.readings(t)
+            return {w for t in each | spaced for w in memo[t]}
 
         return words
 

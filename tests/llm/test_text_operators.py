@@ -159,6 +159,60 @@ def test_deobfuscation(decoder):
     assert decoder.restore("That i d i o t and tr@sh") == "that idiot and trash"
 
 
+def test_every_unsure_token_is_decoded():
+    words = "the and that idiot moron trash dumbass hat tall with all see".split()
+    counts = np.zeros(toxicity.SYMBOLS**toxicity.ORDER)
+    for i in range(400):
+        np.add.at(counts, toxicity.grams(" ".join(words[(i * 7 + k * k + k) % len(words)] for k in range(12))), 1)
+    d = toxicity.Decoder(toxicity.language_model(counts))
+    for raw, word in {"iddiot": "idiot", "morron": "moron", "trrash": "trash", "\u00efd\u00ef\u00f6t": "idiot", "idio+": "idiot", "tras#": "trash", "dumba$$": "dumbass", "|diot": "idiot", "(idiot)": "idiot", "idiot!!": "idiot", "all": "all", "see,": "see", "idio*": "idiot", "trash***": "trash"}.items():
+        assert d.word(raw) == word, raw
+    assert d.readings("all!") == ("all",) and d.readings("iddiot") == ("idiot", "iddiot")
+    weights = toxicity._Weights(d, {"=idiot": 2.0, "mor": 1.0, "=t\u00ebx": 3.0})
+    assert [weights[t] for t in ("iddiot", "morrons", "idio+", "t\u00ebx", "hat")] == [2.0, 1.0, 2.0, 3.0, 0.0]
+    assert len(d.word("*" * 5000)) < 4 and len(d.word("*" * 300 + "a")) < 6
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("adit1$!.**"), max_size=5).map("".join))
+def test_endings_are_the_lattice(decoder, token):
+    def ways(i, state, before):
+        if i == len(token):
+            return float(decoder.ends[state])
+        arcs = [*decoder._arcs(token[i])] + [("", toxicity.REPEATED)] * (token[i] == before)
+        best = -np.inf
+        for letter, cost in arcs:
+            gram = state * toxicity.SYMBOLS + (ord(letter) - 96 if letter else 0)
+            step = float(decoder.model[gram]) if letter else 0.0
+            to = gram % toxicity.SYMBOLS ** (toxicity.ORDER - 1) if letter else state
+            key = i + 1, to, token[i]
+            if key not in known:
+                known[key] = ways(*key)
+            best = max(best, step - cost + known[key])
+        return best
+
+    known = {}
+    want = ways(0, 0, "")  # the value of what is read reaches the best of all ways
+    assert abs(value_of(decoder, token, decoder.viterbi(token)) - want) < 1e-3
+
+
+def value_of(decoder, token, read):
+    """The best value of the ways in which token is read so."""
+    best = {(0, 0): 0.0}
+    for k, c in enumerate(token):
+        arcs = [*decoder._arcs(c)] + [("", toxicity.REPEATED)] * (token[k - 1 : k] == c)
+        after = {}
+        for (n, state), v in best.items():
+            for letter, cost in arcs:
+                if letter and read[n : n + 1] != letter:
+                    continue
+                gram = state * toxicity.SYMBOLS + (ord(letter) - 96 if letter else 0)
+                key = (n + 1, gram % toxicity.SYMBOLS ** (toxicity.ORDER - 1)) if letter else (n, state)
+                after[key] = max(after.get(key, -np.inf), v - cost + (float(decoder.model[gram]) if letter else 0.0))
+        best = after
+    return max((v + float(decoder.ends[state]) for (n, state), v in best.items() if n == len(read)), default=-np.inf)
+
+
 def test_spaced_runs():
     words = "the you are say now that moron idiot a i and trash with".split()
     counts = np.zeros(toxicity.SYMBOLS**toxicity.ORDER)
