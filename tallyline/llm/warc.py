@@ -15,12 +15,13 @@ Pointer jumping over the exits, from offset 0 of every file, keeps the reachable
 chunk entries in log2(chunks of a file) rounds; the candidates that lie on the
 chain from a reachable entry are the records. Magic inside a payload is a
 candidate, but no link from the file's start leads to it. Payloads are hashed by
-a stream over the chunks in order: no record is held whole.
+a stream over the chunks in order: no payload is held whole. A header that is still
+open where its chunk ends is carried into the next chunk, whatever its length.
 
 Defined cases: null html is an empty payload; null urls are empty; line ends in
 a url are percent-encoded; a null page_id is its own response; rows with the
 same page_id and payload are alike; an empty table gives no rows. A chain that
-breaks (a damaged archive) ends there: nothing beyond the break is returned.
+ends before or beyond its file's end (a damaged archive) raises an error.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from .common import bound_batches, dropped, new_folder, written
 
 REVISIT_BYTES = 1000
 CHUNK = 4 << 20
-#: Bytes of the longest header that is read.
+#: Bytes after a chunk that are read with it; longer headers are carried.
 HEADER = 64 << 10
 RECORDS_A_FILE = 20_000
 SALTS = 16
@@ -90,35 +91,66 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     out.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_A_FILE).text(folder)
 
 
-def parse_header(raw: bytes) -> dict[str, str] | None:
-    """The fields of a header with its magic and END; None if it isn't one."""
-    if not raw.startswith(MAGIC) or not raw.endswith(END):
+def parse_lines(raw: bytes, at: int, stop: int) -> tuple[int, dict[str, tuple[int, str]]]:
+    """Of the lines from at to the END at stop: where the last one starts that is
+    no field (-1: none), and by name the last field with its place."""
+    bad, fields = -1, {}
+    while at <= stop:
+        end = raw.find(b"\r\n", at, stop + 2)
+        name, colon, value = raw[at:end].partition(b":")
+        if colon and re.fullmatch(rb"[A-Za-z0-9-]+", name):
+            fields[name.decode().lower()] = at, value.strip().decode("utf-8", "replace")
+        else:
+            bad = at
+        at = end + 2
+    return bad, fields
+
+
+def parse_header(bad: int, lines: dict[str, tuple[int, str]], at: int, stop: int) -> dict[str, str] | None:
+    """The fields of a header whose lines start at `at`; None if it isn't one."""
+    if not bad < at <= stop:
         return None
-    fields = {}
-    for line in raw[len(MAGIC) : -len(END)].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon or not re.fullmatch(rb"[A-Za-z0-9-]+", name):
-            return None
-        fields[name.decode().lower()] = value.strip().decode("utf-8", "replace")
+    fields = {k: v for k, (place, v) in lines.items() if place >= at}
     return fields if re.fullmatch(r"[0-9]{1,15}", fields.get("content-length", "")) and fields.get("warc-type") else None
 
 
+class _Headers:
+    """Takes the chunks of a file in order; holds what an open header began with."""
+
+    def __init__(self) -> None:
+        self.path: str | None = None
+        self.held = b""
+
+    def boundaries(self, path: str, chunk: bytes, base: int) -> list[tuple[int, int, int, int, dict]]:
+        """(start, payload start, successor, exit, fields) of every candidate whose
+        magic starts in this chunk or in what is held, and whose header ends."""
+        if path != self.path:
+            self.path, self.held = path, b""
+        searched, end = max(0, len(self.held) - len(END)), base + CHUNK
+        chunk, base = self.held + chunk, base - len(self.held)
+        found, self.held, stop = [], b"", -1
+        at = chunk.find(MAGIC)
+        while 0 <= at < end - base:
+            if stop < at:
+                stop = chunk.find(END, max(at, searched))
+                if stop < 0:  # nor does any later header end
+                    self.held = chunk[at : end - base]
+                    break
+                bad, lines = parse_lines(chunk, at + len(MAGIC), stop)
+            fields = parse_header(bad, lines, at + len(MAGIC), stop)
+            if fields:
+                body = base + stop + len(END)
+                found.append((base + at, body, body + int(fields["content-length"]) + len(END), fields))
+            at = chunk.find(MAGIC, at + 1)
+        leads: dict[int, int] = {}
+        for start, _, successor, _ in reversed(found):
+            leads[start] = leads.get(successor, successor) if successor < end else successor
+        return [(s, b, n, leads[s], f) for s, b, n, f in found]
+
+
 def boundaries(chunk: bytes, base: int) -> list[tuple[int, int, int, int, dict]]:
-    """(start, payload start, successor, exit, fields) of every candidate that
-    starts in the first CHUNK bytes. base: the chunk's offset in its file."""
-    found = []
-    at = chunk.find(MAGIC)
-    while 0 <= at < CHUNK:
-        stop = chunk.find(END, at, at + HEADER)
-        fields = parse_header(chunk[at : stop + len(END)]) if stop >= 0 else None
-        if fields:
-            body = base + stop + len(END)
-            found.append((base + at, body, body + int(fields["content-length"]) + len(END), fields))
-        at = chunk.find(MAGIC, at + 1)
-    leads: dict[int, int] = {}
-    for start, _, successor, _ in reversed(found):
-        leads[start] = leads.get(successor, successor) if successor < base + CHUNK else successor
-    return [(s, b, n, leads[s], f) for s, b, n, f in found]
+    """The candidates of a chunk alone. base: the chunk's offset in its file."""
+    return _Headers().boundaries("", chunk, base)
 
 
 _CANDIDATE = "path string, size long, start long, exit long"
@@ -129,7 +161,7 @@ def chunks(spark, folder: str, beside: DataFrame | None = None) -> DataFrame:
     and the columns of beside, a table by path."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", F.col("length").alias("size"), "content")
     if beside is not None:
-        files = files.join(beside, "path")
+        files = files.join(beside, "path", "left")
     cut = files.select("*", F.explode(F.expr(f"sequence(0L, size, {CHUNK}L)")).alias("base")).where("base < size")
     return cut.withColumn("content", F.expr(f"substring(content, cast(base + 1 as int), {CHUNK + HEADER})"))
 
@@ -139,10 +171,11 @@ def candidates(spark, folder: str) -> DataFrame:
     schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in _CANDIDATE.split(", ")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        headers = _Headers()  # a file's chunks follow each other in its task
         for batch in batches:
             for row in zip(*(batch[c] for c in ("path", "size", "base", "content")), strict=True):
                 path, size, base, content = (x.as_py() for x in row)
-                rows = [{"path": path, "size": size, "start": s, "exit": x} for s, _, _, x, _ in boundaries(content, base)]
+                rows = [{"path": path, "size": size, "start": s, "exit": x} for s, _, _, x, _ in headers.boundaries(path, content, base)]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -155,7 +188,10 @@ def reachable(found: DataFrame) -> DataFrame:
     jump spans 2**k of them."""
     jump = found.select("path", "start", "exit")
     known = jump.where("start = 0").select("path", "start")
-    most = found.agg(F.max(F.ceil(F.col("size") / CHUNK))).first()[0] or 0
+    # an exit leaves its chunk, or leads to a header of it that ends in a later one
+    within = F.col("exit") < (F.floor(F.col("start") / CHUNK) + 1) * CHUNK
+    most, again = found.agg(F.max(F.ceil(F.col("size") / CHUNK)), F.max(within)).first()
+    most = (most or 0) * (2 if again else 1)
     for _ in range(math.ceil(math.log2(most)) if most > 1 else 0):
         beyond = known.join(jump, ["path", "start"]).select("path", F.col("exit").alias("start"))
         known, old = written(known.unionByName(beyond).distinct(), "warc-known"), known
@@ -187,7 +223,10 @@ def read_archives(spark, folder: str) -> DataFrame:
         stream = _Stream()
         for batch in batches:
             for row in zip(*(batch[c] for c in ("path", "size", "base", "content", "entries")), strict=True):
-                done = stream.read(*(x.as_py() for x in row))
+                path, size, base, content, starts = (x.as_py() for x in row)
+                done = stream.read(path, size, base, content, starts or [])
+                if base + CHUNK >= size and stream.expected != size:
+                    raise ValueError(f"{path}: the chain of records leads to {stream.expected}, the file ends at {size}")
                 if done:
                     yield pa.RecordBatch.from_pylist(done, schema=schema)
 
@@ -201,13 +240,14 @@ class _Stream:
     def __init__(self) -> None:
         self.path: str | None = None
         self.expected = -1
+        self.headers = _Headers()
         self.open: list[dict] = []
 
     def read(self, path: str, size: int, base: int, content: bytes, entries: list[int]) -> list[dict]:
         if path != self.path:
             self.path, self.expected, self.open = path, -1, []
         known = set(entries)
-        for start, body, successor, _, fields in boundaries(content, base):
+        for start, body, successor, _, fields in self.headers.boundaries(path, content, base):
             if start == self.expected or start in known:
                 self.expected = successor
                 if successor <= size:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pandas as pd
+import pytest
 
 from tallyline.llm import decontamination, near_dedup, queries, url_filter, warc
 from tallyline.llm.components import components
@@ -170,6 +171,37 @@ def test_warc_chain_over_chunks(monkeypatch):
     assert [r["page_id"] for r in rows] == [0, 1, 2, 3]
 
 
+def test_warc_long_urls(spark, tmp_path):
+    rows = [(i, "u" * (200_000 + i if i % 2 == 0 else 9) + "WARC/1.1", "<p>" + "ab" * i) for i in range(90)]  # more than two chunks
+    rows += [(90, "u" * (2 * warc.CHUNK + 5), "x"), (91, "v", "WARC/1.1\r\na: " * 50_000), (92, "w", "y" * 1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.round_trip(pages).collect()}
+    assert got == {i: (len(h), hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows}
+    warc.write_archives(pages.where("page_id < 5 OR page_id > 91"), f"{tmp_path}/x")
+    (part,) = (tmp_path / "x").glob("part-*")
+    whole = part.read_bytes()
+    assert warc.read_archives(spark, f"{tmp_path}/x").count() == 6
+    for damaged in (whole[:-30], b"z" + whole, whole[:-1000] + b"y" * 10 + whole[-1000:]):
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+        part.write_bytes(damaged)
+        with pytest.raises(Exception, match="chain of records"):
+            warc.read_archives(spark, f"{tmp_path}/x").collect()
+
+
+def test_open_headers_are_carried(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 200)
+    head = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{}>\r\nWARC-Target-URI: {}\r\nContent-Length: {}\r\n\r\n"
+    for size in range(0, 900, 7):
+        raw = "".join(head.format(i, "u" * (size * (i % 2)), 9) + f"payload-{i}\r\n\r\n" for i in range(5)).encode()
+        headers = warc._Headers()
+        found = {s: n for b in range(0, len(raw), 200) for s, _, n, _, _ in headers.boundaries("p", raw[b : b + 230], b)}
+        assert found[0] == sorted(found)[1] and [*found.values()] == [*sorted(found)[1:], len(raw)]
+        stream, rows = warc._Stream(), []
+        for b in range(0, len(raw), 200):
+            rows += stream.read("p", len(raw), b, raw[b : b + 230], [0])
+        assert [r["payload_digest"] for r in rows] == [hashlib.sha1(f"payload-{i}".encode()).hexdigest() for i in range(5)] and stream.expected == len(raw)
+
+
 def test_pointer_jumping_over_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(warc, "CHUNK", 100)
     chains = {"a": list(range(0, 4000, 90)), "b": [0], "c": list(range(0, 950, 50)), "d": [0, 130, 260]}
