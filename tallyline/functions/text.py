@@ -109,14 +109,51 @@ def tax_id_score(text: Column) -> Column:
     )
 
 
-#: Date formats, in the order in which they are tried.
-DATES = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "yyyy-M-d", "yyyy/M/d", "d/M/yy", "d-M-yy")
+def noisy_tax_id_score(text: Column) -> Column:
+    """How surely noisy text (lower case) holds a tax id, or is the word that
+    announces one: by its length, then by patterns that are searched in it."""
+    t = F.coalesce(text, F.lit(""))
+    size = F.length(t)
+    held = t.rlike(r"(?id)[a-z]{3,5}[0-9]{5,7}[a-z0-9]{2,4}") | t.rlike(r"(?id)[a-z]{3,4}.*[0-9]{4,6}.*[a-z0-9]{1,3}")
+    whole = F.when(t.rlike(r"^[a-z]{4}[0-9]{6}[a-z0-9]{3}"), 0.95).when(size <= 15, 0.85).otherwise(0.75)
+    word = F.when(t.rlike(r"(?d)\Ar.?f.?c\z"), 0.8).otherwise(0.7)
+    return F.when((size >= 10) & held, whole).when(size.between(2, 5) & t.rlike(r"(?id)r.{0,2}f.{0,2}c"), word).otherwise(0.0)
+
+
+#: Date formats: parts of a day, month, year of four or two digits, and what is
+#: between them; parts are read from the left, as far as they match.
+DATES = ("d/m/Y", "d-m-Y", "d.m.Y", "d/m/y", "d-m-y", "d.m.y", "Y/m/d", "Y-m-d", "Y.m.d", "dmY", "dmy")
+_PARTS = {"d": "(3[0-1]|[1-2][0-9]|0[1-9]|[1-9])", "m": "(1[0-2]|0[1-9]|[1-9])", "Y": "([0-9]{4})", "y": "([0-9]{2})", ".": "[.]"}
+DAYS = (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+#: Words that announce a date or time, with noise; the last one stands for either.
+ANNOUNCING = ("f.{0,2}e.{0,2}c.{0,2}h.{0,2}a", "h.{0,2}o.{0,2}r.{0,2}a", "[fh].{0,3}[eo].{0,3}[cr].{0,3}[ha]")
+
+
+def _is_date(text: Column, form: str) -> Column:
+    pattern = "^" + "".join(_PARTS.get(c, c) for c in form)
+    order = [c for c in form if c in "dmYy"]
+    part = {c.lower(): F.try_to_number(F.nullif(F.regexp_extract(text, pattern, k + 1), F.lit("")), F.lit("9999")).cast("int") for k, c in enumerate(order)}
+    d, m, y = part["d"], part["m"], part["y"]
+    # a year of two digits is a leap year where 1900 + it or 2000 + it is; only 00 differs
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    exists = (d <= F.element_at(F.array(*map(F.lit, DAYS)), F.coalesce(m, F.lit(1)))) & ((m != 2) | (d < 29) | leap)
+    whole = F.regexp_extract(text, pattern, 0) == text
+    return F.coalesce((text != "") & whole & exists & ((y > 0) if "Y" in form else F.lit(True)), F.lit(False))
 
 
 def date_score(text: Column) -> Column:
-    """0.95 for a text that is a date in one of DATES, else 0."""
-    t = F.trim(text)
-    return F.when(F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATES]).isNotNull(), 0.95).otherwise(0.0)
+    """0.95 for a text whose digits and / - . are a date in one of DATES; less for
+    a word that announces a date or time; else 0."""
+    t = F.coalesce(text, F.lit(""))
+    clean = F.regexp_replace(t, r"[^0-9/\-.]", "")
+    any_date = F.lit(False)
+    for form in DATES:
+        any_date = any_date | _is_date(clean, form)
+    score = F.when(any_date, 0.95)
+    for word in ANNOUNCING[:2]:
+        near = rf"(?d)\A{word.replace('{0,2}', '{0,1}')}\z"
+        score = score.when(t.rlike(f"(?id){word}"), F.when(t.rlike(near), 0.85).otherwise(0.75))
+    return score.when(t.rlike(f"(?id){ANNOUNCING[2]}"), 0.7).otherwise(0.0)
 
 
 def char_type(code: Column) -> Column:

@@ -61,6 +61,16 @@ def test_dates(spark, t, score):
     assert df.select(text.date_score(df.t)).first()[0] == score
 
 
+def test_noisy_dates_and_tax_ids(spark):
+    dates = {"31.12.23": 0.95, "2023.12.31": 0.95, "2023/1/5": 0.95, "31122023": 0.95, "311223": 0.95, "1122": 0.95, "112023": 0.95, "Fecha: 31/12/2023": 0.95, "29/02/2023": 0.0, "29/2/24": 0.95, "29/2/00": 0.95, "1/1/0000": 0.0,
+             "31/12/2023.": 0.0, "fecha": 0.85, "f.e.c.h.a": 0.85, "Fecha": 0.75, "f..echa": 0.75, "fecha de pago": 0.75, "hora": 0.85, "HORA": 0.75, "fexcxa": 0.7, "total": 0.0, "": 0.0, None: 0.0}
+    df = spark.createDataFrame([(k,) for k in dates], "t string")
+    assert {r[0]: r[1] for r in df.select("t", text.date_score(df.t)).collect()} == dates
+    ids = {"abcd901231xy1": 0.95, "abc901231xy1": 0.85, "abcde12345xy": 0.85, "rfc: abc901231xy1": 0.75, "ab1": 0.0, "rfc": 0.8, "r.f.c": 0.8, "r..fc": 0.7, "RFC": 0.7, "rfcabc": 0.0, "abcdefghijkl": 0.0, None: 0.0}
+    df = spark.createDataFrame([(k,) for k in ids], "t string")
+    assert {r[0]: r[1] for r in df.select("t", text.noisy_tax_id_score(df.t)).collect()} == ids
+
+
 def test_geometry(spark):
     df = one(spark, x=1.0)
     z, o = F.lit(0.0), F.lit(1.0)
