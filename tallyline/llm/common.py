@@ -46,7 +46,8 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def hashed_sample(df: DataFrame, key: str, rows: int, total: int, spare: int = 20) -> DataFrame:
-    """At most rows rows of df, in the order of the key's hash. Of total rows,
+    """At most rows rows of df, in the order of the key's hash. Of total rows (the
+    count of df itself, else the sample falls short of its bound),
     those whose hash is high cannot be among them and are left out before the
     sort: about spare * rows are left, which one task can order."""
     part = F.pmod(F.xxhash64(F.lit(99), key), F.lit(1 << 30))

@@ -225,7 +225,7 @@ def fit(documents: DataFrame) -> np.ndarray:
         return step
 
     some = _plain(documents).where(F.col("text").rlike(r"@|[0-9][0-9 ().-]{6}"))
-    sample = hashed_sample(some.select("doc_id", "text"), "doc_id", ROWS, documents.count())
+    sample = hashed_sample(some.select("doc_id", "text"), "doc_id", ROWS, some.count())
     rows = by_batch(sample, make, "doc_id long, t array<struct<f:array<int>,y:int>>").collect()
     rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, len(r.t)))
     return learn([(x.f, x.y) for r in rows for x in r.t])

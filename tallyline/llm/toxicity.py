@@ -404,8 +404,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     labelled rows of each class, none of them held out."""
     language = language_model(count_grams(documents))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    n = labels.count()
-    chosen = [F.broadcast(hashed_sample(known.where(c).select("doc_id"), "doc_id", rows, n)) for c in ("toxic > 0", "toxic <= 0")]
+    of_class = [known.where(c).select("doc_id") for c in ("toxic > 0", "toxic <= 0")]
+    chosen = [F.broadcast(hashed_sample(c, "doc_id", rows, c.count())) for c in of_class]
     texts = [documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(c, "doc_id", "left_semi") for c in chosen]
     sizes = [max(0, t.count()) for t in texts]
     if not all(sizes):

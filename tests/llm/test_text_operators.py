@@ -262,6 +262,22 @@ def test_toxicity_learns_no_held_out_row(spark):
     assert not toxicity.fit(docs, labels).trained
 
 
+def test_samples_reach_their_bounds(spark, monkeypatch):
+    sizes, real = [], toxicity.hashed_sample
+
+    def counted(*args):
+        sizes.append(real(*args).count())
+        return real(*args)
+
+    for module in (toxicity, pii):
+        monkeypatch.setattr(module, "hashed_sample", counted)
+    monkeypatch.setattr(pii, "ROWS", 10)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 60 = 0 THEN 'call +1 (017) 555-7713' ELSE 'calm words' END AS text")
+    toxicity.fit(docs, docs.selectExpr("doc_id", "int(doc_id % 60 = 0) AS toxic"), 10)
+    pii.fit(docs)
+    assert sizes == [10, 10, 10]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.text(alphabet="ab%_ ", max_size=5), st.lists(st.sampled_from(["###", "</turn>", "\\", "\n", "a", "### user|0: ", "\u00e9"]), max_size=6).map("".join)), max_size=4))
 def test_chat_round_trip(turns):
