@@ -5,7 +5,8 @@ distinct shingles; shorter texts are one shingle; texts without words have an
 empty set and are linked with nothing. Two documents are linked if
 100 * intersection >= 80 * union of their full sets.
 
-1. Texts with the same words are one class; only its least doc_id goes on.
+1. Texts with the same words are one class; only its least doc_id goes on, as a
+   node of its own: a doc_id with several texts has several nodes.
 2. A sketch is the K least hashes of a set. Inverted lists of the retained
    values give overlaps. Linked sets retain at least NEEDED of the same values
    (at a similarity of 0.8 fewer about once in 10**8; sets of up to 51 shingles
@@ -29,11 +30,13 @@ Result: a row a document with the least doc_id that it is connected to.
 Scale: texts are scanned once for sketches (at most K + 4 longs a document
 move), and the texts of candidates a second time. Copies collapse in a partial
 aggregate before anything is shuffled by text; joins to large classes are
-salted. All loops write their state to the shared folder.
+salted; values that more than HOT sketches retain meet their counts in a
+broadcast table. All loops write their state to the shared folder.
 
 Defined cases: null and empty texts have n_shingles 0 and stay; repeated rows
-share a class; a null doc_id is linked with nothing, keeps its row, and has a
-null component; other columns are ignored.
+share a class; rows with the same doc_id and different texts are one document,
+linked with all that any of its texts is linked with; a null doc_id is linked with
+nothing, keeps its row, and has a null component; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,8 +56,10 @@ K, NEEDED = 64, 32
 WHOLE = 51
 #: Members of a list that gives all its pairs.
 LIST = 48
-#: Estimates below this are clear misses: five deviations of a sketch under 0.8.
-ESTIMATE = 0.55
+#: Estimates below this are clear misses: NEEDED of K.
+ESTIMATE = 0.5
+#: Sketches from which on a value's count is broadcast.
+HOT = 1000
 BLOCK = 500_000
 SALTS = 16
 #: Ids of candidate documents that are broadcast.
@@ -108,7 +113,7 @@ def sketches(documents: DataFrame, size: int) -> DataFrame:
             for text in batch["text"].to_pylist():
                 words = _words(text)
                 found = shingle_set(words, size)
-                key.append(hashlib.sha256(b" ".join(words)).digest()[:16])
+                key.append(_digest(words))
                 n.append(len(found))
                 sketch.append(found[:K])
             return {"doc_id": batch["doc_id"], "key": key, "n": n, "sketch": sketch}
@@ -122,18 +127,28 @@ def _plain(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def full_sets(documents: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """doc_id, s (the full set) of the documents in ids(doc_id)."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+def full_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """doc_id (the node), s (the full set) of nodes(node, doc_id, key)."""
+    few = nodes.count() <= BROADCAST_IDS
+    ids = nodes.select("doc_id").distinct()
 
     def make():
         def step(batch):
-            return {"doc_id": batch["doc_id"], "s": [shingle_set(_words(t), size) for t in batch["text"].to_pylist()]}
+            key, s = [], []
+            for text in batch["text"].to_pylist():
+                words = _words(text)
+                key.append(_digest(words))
+                s.append(shingle_set(words, size))
+            return {"doc_id": batch["doc_id"], "key": key, "s": s}
 
         return step
 
-    return by_batch(_plain(documents).join(ids, "doc_id", "left_semi"), make, "doc_id long, s array<long>").dropDuplicates(["doc_id"])
+    own = by_batch(_plain(documents).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), make, "doc_id long, key binary, s array<long>").dropDuplicates(["doc_id", "key"])
+    return own.join(F.broadcast(nodes) if few else nodes, ["doc_id", "key"]).select(F.col("node").alias("doc_id"), "s")
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.sha256(b" ".join(words)).digest()[:16]
 
 
 def _salted(df: DataFrame) -> DataFrame:
@@ -144,11 +159,23 @@ def _salt(of: str) -> Column:
     return F.pmod(F.xxhash64(of), F.lit(SALTS)).cast("int")
 
 
+def _with_counts(df: DataFrame, size: str, *more: Column) -> DataFrame:
+    """df(v, ...) with the number of rows of each v (and what else is aggregated),
+    of those with two or more. Rows of a hot v stay where they are."""
+    counts = written(df.groupBy("v").agg(F.count("*").alias(size), *more).where(F.col(size) > 1), "counts")
+    hot = counts.where(F.col(size) > HOT)
+    if hot.count() > BROADCAST_IDS:
+        return df.join(counts, "v")
+    tagged = df.join(F.broadcast(hot), "v", "left")
+    cold = tagged.where(F.col(size).isNull()).select(*df.columns).join(counts.where(F.col(size) <= HOT), "v")
+    return tagged.where(F.col(size).isNotNull()).unionByName(cold)
+
+
 def inverted_lists(reps: DataFrame) -> DataFrame:
-    """v, doc_id, n, central, size: the lists of two or more members."""
+    """v, doc_id, n, central, size, and doc2 and n2, the list's most central member:
+    the lists of two or more members."""
     values = reps.select("doc_id", "n", F.explode("sketch").alias("v"))
-    shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = values.join(shared, "v").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("r"))
+    ranked = _with_counts(values, "df").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("r"))
     kept = F.least(F.col("n"), F.lit(K))
     needed = F.when(F.col("n") <= WHOLE, F.ceil(F.col("n") * 0.8)).otherwise(NEEDED)
     # the prefix, less the values that no other sketch retains, which rank first
@@ -156,7 +183,9 @@ def inverted_lists(reps: DataFrame) -> DataFrame:
     central = F.size(F.filter("r", lambda x: x.df > LIST)) / kept
     each = ranked.where(emitted > 0).select("doc_id", "n", central.alias("central"), F.explode(F.slice("r", F.lit(1), emitted)).alias("x")).select("x.v", "doc_id", "n", "central")
     each = written(each, "emitted")
-    return written(each.join(each.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v"), "lists")
+    most = F.min(F.struct((-F.col("central")).alias("c"), "doc_id", "n")).alias("p")
+    lists = _with_counts(each, "size", most)
+    return written(lists.select("v", "doc_id", "n", "central", "size", F.col("p.doc_id").alias("doc2"), F.col("p.n").alias("n2")), "lists")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
@@ -169,7 +198,7 @@ def candidate_pairs(lists: DataFrame, reps: DataFrame) -> DataFrame:
     short = lists.where(F.col("size") <= LIST)
     like = (F.least("n", "n2") * 5 >= F.greatest("n", "n2") * 4)
     own = short.select("v", "doc_id", "n").join(short.select("v", F.col("doc_id").alias("doc2"), F.col("n").alias("n2")), "v").where((F.col("doc_id") < F.col("doc2")) & like)
-    stars = pivots(lists).join(lists.where(F.col("size") > LIST), "v").where((F.col("doc_id") != F.col("doc2")) & like)
+    stars = lists.where((F.col("size") > LIST) & (F.col("doc_id") != F.col("doc2")) & like)
     both = own.select(*_pair(F.col("doc_id"), F.col("doc2"))).unionByName(stars.select(*_pair(F.col("doc_id"), F.col("doc2")))).distinct()
     a = reps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = reps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
@@ -182,12 +211,6 @@ def candidate_pairs(lists: DataFrame, reps: DataFrame) -> DataFrame:
     return met.where(kept).select("a", "b", whole.alias("exact"))
 
 
-def pivots(lists: DataFrame) -> DataFrame:
-    """v, doc2, n2: the most central member of each long list."""
-    best = lists.where(F.col("size") > LIST).groupBy("v").agg(F.min(F.struct((-F.col("central")).alias("c"), "doc_id", "n")).alias("p"))
-    return best.select("v", F.col("p.doc_id").alias("doc2"), F.col("p.n").alias("n2"))
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     a = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
@@ -229,7 +252,7 @@ def joining_links(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 def remaining_links(lists: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """Links inside long lists that join different components of links."""
     long = lists.where(F.col("size") > LIST)
-    groups = components(long.join(pivots(lists), "v").select(F.col("doc_id").alias("a"), F.col("doc2").alias("b")))
+    groups = components(long.select(F.col("doc_id").alias("a"), F.col("doc2").alias("b")))
     own = components(links).withColumnRenamed("node", "doc_id")
     member = groups.withColumnRenamed("node", "doc_id").withColumnRenamed("root", "g").join(own, "doc_id", "left").select("doc_id", "g", F.coalesce("root", "doc_id").alias("c"))
     member = written(member.join(sets, "doc_id").withColumn("n", F.size("s")), "members")
@@ -248,21 +271,31 @@ def remaining_links(lists: DataFrame, sets: DataFrame, links: DataFrame) -> Data
 def link(documents: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for shingles of size words."""
     every = written(sketches(documents, size), "sketches")
-    classes = every.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    some = every.where("n > 0 AND doc_id IS NOT NULL")
+    classes = some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     many = written(classes.where("copies > 1").select("key", "rep"), "classes")
-    reps = every.where("n > 0 AND doc_id IS NOT NULL").withColumn("salt", _salt("doc_id")).join(_salted(many), ["key", "salt"], "left")
-    reps = written(reps.where("rep IS NULL OR rep = doc_id").select("key", "doc_id", "n", "sketch").dropDuplicates(["key", "doc_id"]), "representatives")
+    reps = some.withColumn("salt", _salt("doc_id")).join(_salted(many), ["key", "salt"], "left")
+    reps = reps.where("rep IS NULL OR rep = doc_id").select("key", "doc_id", "n", "sketch").dropDuplicates(["key", "doc_id"])
+    reps = written(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")
+    nodes = reps.select(F.col("node").alias("doc_id"), "n", "sketch")
 
-    lists = inverted_lists(reps)
-    pairs = written(candidate_pairs(lists, reps), "pairs")
+    lists = inverted_lists(nodes)
+    pairs = written(candidate_pairs(lists, nodes), "pairs")
     long = lists.where(F.col("size") > LIST)
     unsure = pairs.where("NOT exact")
-    ids = unsure.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(long.select("doc_id")).distinct()
-    sets = written(full_sets(documents, written(ids, "candidates"), size), "sets")
+    ids = unsure.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select(F.col("doc_id").alias("node"))).distinct()
+    sets = written(full_sets(documents, written(reps.select("node", "doc_id", "key").join(ids, "node"), "candidates"), size), "sets")
     links = written(pairs.where("exact").select("a", "b").unionByName(verified(unsure, sets)), "links")
     if not long.isEmpty():
         links = written(links.unionByName(remaining_links(lists, sets, links)), "links")
 
+    of = reps.select(F.col("node").alias("a"), F.col("doc_id").alias("x"))
+    links = links.join(of, "a").join(of.select(F.col("a").alias("b"), F.col("x").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    # a document of several texts joins their classes
+    several = written(some.groupBy("doc_id").agg(F.min(F.xxhash64("key")).alias("low"), F.max(F.xxhash64("key")).alias("high")).where("low < high").select("doc_id"), "several")
+    if not several.isEmpty():
+        links = links.unionByName(some.select("doc_id", "key").join(several, "doc_id", "left_semi").join(many, "key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+
     # what a key's documents are connected to, where that isn't a document itself
     roots = components(links)
     of_rep = reps.select("key", "doc_id").join(roots, F.col("doc_id") == F.col("node")).select("key", "root")
