@@ -6,10 +6,11 @@ of about GROUP pieces. In each group, pieces are placed longest first into the
 first sequence that still has room; a tournament tree, whose inner nodes hold
 the largest room below them, finds it in log2(bins) steps.
 
-Scale: tokenizing is one scan. What shuffles is a narrow row a piece (the ids
-stay behind as a checksum; `with_ids` carries them). Groups are independent and
-of bounded expected size, whatever the table's size or the length of one
-document, whose pieces are dealt apart.
+Scale: tokenizing is one scan, whose pieces are written, numbered and counted.
+What shuffles is a narrow row a piece (the ids stay behind as a checksum;
+`with_ids` carries them). The number of groups follows that of pieces, and each
+piece is dealt by its own number, so groups are independent and of bounded
+expected size, whatever the length of one document or the number of equal rows.
 
 Tokenizing: the vocabulary drops white space and never merges across it, so a
 text's ids are the ids of its space-separated chunks in order. Chunks repeat;
@@ -33,7 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_batch, cached_by
+from .common import by_batch, cached_by, written
 
 LENGTH, END_ID = 4096, 2
 GROUP = 8192
@@ -184,25 +185,28 @@ def first_fit_decreasing(lengths: list[int], room: int) -> tuple[list[int], list
     return bins, offsets
 
 
-def pack(pieces: DataFrame, n_documents: int, length: int = LENGTH, group: int = GROUP, seed: int = 17) -> DataFrame:
-    """The pieces, with sequence_id and offset. n_documents sets the number of
-    groups."""
-    groups = max(1, -(-n_documents // group))
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups))
-    names = [f.name for f in pieces.schema]
+def pack(pieces: DataFrame, n_pieces: int, length: int = LENGTH, group: int = GROUP, seed: int = 17) -> DataFrame:
+    """The pieces, with sequence_id and offset. n_pieces sets the number of groups;
+    a column piece, if there is one, tells equal rows apart and goes."""
+    groups = max(1, -(-n_pieces // group))
+    told = [c for c in ("doc_id", "start", "ids_crc32", "piece") if c in pieces.columns]
+    place = F.pmod(F.xxhash64(F.lit(seed), *told), F.lit(groups))
+    fields = [f for f in pieces.schema if f.name != "piece"]
+    names = [f.name for f in fields]
 
-    def one(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
         bins, offsets = first_fit_decreasing(frame["length"].tolist(), length)
         return frame[names].assign(sequence_id=np.array(bins, np.int64) + (int(key[0]) << 32), offset=np.array(offsets, np.int64))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.withColumn("pack_group", place).groupBy("pack_group").applyInPandas(one, f"{schema}, sequence_id long, offset long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    return pieces.withColumn("pack_group", place).drop("piece").groupBy("pack_group").applyInPandas(one, f"{schema}, sequence_id long, offset long")
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, (ids,) sequence_id, offset."""
-    return pack(pieces(documents, tokenizer, length, with_ids), documents.count(), length)
+    made = written(pieces(documents, tokenizer, length, with_ids).withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    return pack(made, made.count(), length)
 
 
 def padding(lengths: Iterator[int], length: int = LENGTH) -> int:
