@@ -5,7 +5,8 @@ equal payloads of REVISIT_BYTES or more, the one with the largest page_id is the
 response and the others are revisits of it. Equal payloads are found on (id,
 digest) rows alone; digests are pre-aggregated, and the join back is salted, so
 a payload that a third of the pages share meets many tasks. Records are written
-through Spark's own writer, to any store.
+through Spark's own writer, to any store, in files by size class: a file holds at
+most FILE bytes, or a single record that is longer.
 
 Reading. An archive is cut into chunks. Each task emits the places in its chunk
 where a record may start (the magic, followed by a header that parses) with the
@@ -40,7 +41,8 @@ REVISIT_BYTES = 1000
 CHUNK = 4 << 20
 #: Bytes after a chunk that are read with it; longer headers are carried.
 HEADER = 64 << 10
-RECORDS_A_FILE = 20_000
+#: Bytes of a file, and of the records that share one, by class.
+FILE, CLASSES = 128 << 20, (16 << 10, 256 << 10, 4 << 20, 64 << 20)
 SALTS = 16
 #: Rows of about 100 bytes that are broadcast.
 BROADCAST_REVISITS = 500_000
@@ -87,8 +89,19 @@ def records(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str) -> None:
     """Archives under folder: plain concatenated records."""
-    out = records(pages).select(F.col("record").alias("value"))
-    out.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_A_FILE).text(folder)
+    # a line end of a url becomes three bytes; the other fields are short
+    length = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long")
+    most = length("html") + 3 * length("url") + 1024
+    longest, total = pages.agg(F.coalesce(F.max(most), F.lit(0)), F.coalesce(F.sum(most), F.lit(0))).first()
+    # where all records fit one file, any file will do
+    top = sum(longest > c for c in CLASSES) if total > FILE else 0
+    out = records(pages).withColumn("size", F.octet_length("record").cast("long") + len(END))
+    for i in range(top + 1):
+        own = out.where(F.col("size") > (CLASSES[i - 1] if i else 0))
+        if i < top:
+            own = own.where(F.col("size") <= CLASSES[i])
+        records_a_file = 0 if total <= FILE else FILE // CLASSES[i] if i < len(CLASSES) else 1
+        own.select(F.col("record").alias("value")).write.mode("append").option("lineSep", END.decode()).option("maxRecordsPerFile", records_a_file).text(folder)
 
 
 def parse_lines(raw: bytes, at: int, stop: int) -> tuple[int, dict[str, tuple[int, str]]]:
