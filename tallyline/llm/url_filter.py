@@ -1,11 +1,14 @@
 r"""URL filter: host rules, and pattern rules indexed by their rarest literal token.
 
 Host rules name a host suffix and a path prefix; the longest that fits decides.
-Where none fits, pattern rules do. Each pattern rule is filed under one of the
-tokens that every match must hold whole: the one that the fewest URLs of the
-corpus contain. A URL's tokens fetch the rules filed under them, and only those
-rules run their regular expression. A rule without such a token is tried on
-every URL.
+Where none fits, pattern rules do. A URL's tokens are its runs of [a-z0-9_], and
+these without the digits at their end. Of each pattern rule, sets of tokens are
+known of which every match holds at least one: a token that it must hold whole,
+the stem before digits, or the branches of an alternative. The rule is filed under
+the set that the fewest URLs of the corpus contain, at each of its tokens. A URL's
+tokens fetch the rules filed under them, and only those rules run their regular
+expression. A rule without such a set (none of those shipped) is tried on every
+URL.
 
 Scale: only the url column is read. Token counts touch rule tokens alone and
 are one row a token. The index is at most INLINE_RULES rules inside the plan,
@@ -66,47 +69,82 @@ PATTERN_RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: The parts of a regular expression, one level of groups deep.
+_PARTS = re.compile(r"\\[bB]|\\.|\[[^\]]*\]|\((?:[^()]|\([^()]*\))*\)|[*+?]\??|\{[^}]*\}|[\^$|]|.", re.S)
+
+
+def _ends(part: str | None) -> bool:
+    """Whether no token runs on over this part."""
+    if part and part.startswith("(?:"):
+        return all(_ends(x) for x in part[3:-1].split("|"))
+    return part is None or part in ("\\b", "^", "$") or bool(re.fullmatch(r"\\\W|[^\w\\\[\]().*+?{}|]|\[[^\w^\\]*\]", part))
+
+
 def literal_tokens(regex: str) -> list[str]:
     """Runs of [a-z0-9_] that every match of regex holds as whole tokens: plain
     characters on the top level, closed on both sides by an assertion, another
     plain character, or a class without token characters."""
-    parts = re.findall(r"\\[bB]|\\.|\[[^\]]*\]|\((?:[^()]|\([^()]*\))*\)|[*+?]\??|\{[^}]*\}|[\^$|]|.", regex, re.S)
+    return [t for s in _sets(regex) if s.whole for t in s.tokens]
+
+
+def token_sets(regex: str) -> list[frozenset[str]]:
+    """Sets of tokens (whole, or without the digits at their end) of which every
+    match of regex holds at least one."""
+    return [s.tokens for s in _sets(regex)]
+
+
+@dataclass(frozen=True)
+class _Set:
+    tokens: frozenset[str]
+    whole: bool = True
+
+
+def _sets(regex: str) -> list[_Set]:
+    parts = _PARTS.findall(regex)
     if "|" in parts:
         return []
     out, run, closed = [], "", False
-
-    def ends(part: str | None) -> bool:
-        return part is None or part in ("\\b", "^", "$") or bool(re.fullmatch(r"\\\W|[^\w\\\[\]().*+?{}|]|\[[^\w^\\]*\]", part))
-
     for i, part in enumerate([*parts, None]):
         follows = parts[i + 1] if part is not None and i + 1 < len(parts) else None
         varies = follows is not None and follows[0] in "*+?{"
         if part is not None and re.fullmatch(r"[a-z0-9_]", part) and not varies:
             run += part
             continue
+        stem = run.rstrip("0123456789")
         # the regex may end inside a longer token: only an assertion closes it there
-        if run and closed and part is not None and ends(part) and not varies:
-            out.append(run)
+        if run and closed and part is not None and _ends(part) and not varies:
+            out.append(_Set(frozenset([run])))
+        elif stem and closed and part in ("[0-9]", "\\d") and varies and i + 2 < len(parts) and _ends(parts[i + 2]):
+            out.append(_Set(frozenset([stem]), False))
+        elif closed and not run and not varies and follows is not None and _ends(follows) and re.fullmatch(r"\(\?:[a-z0-9_]+(?:\|[a-z0-9_]+)*\)", part or ""):
+            out.append(_Set(frozenset(part[3:-1].split("|")), False))
         run = ""
-        closed = part is not None and ends(part) and not varies
+        closed = part is not None and _ends(part) and not varies
     return out
 
 
 def tokens(url: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(url, F.lit("([a-z0-9_]+)"), 1))
+    whole = F.regexp_extract_all(url, F.lit("([a-z0-9_]+)"), 1)
+    return F.array_union(whole, F.transform(whole, lambda t: F.rtrim(t, F.lit("0123456789"))))
 
 
 def index(pages: DataFrame, rules: tuple[PatternRule, ...]) -> dict[str, list[PatternRule]]:
     """token to rules; rules without a token are under the empty string."""
-    own = {r: literal_tokens(r.regex) for r in rules}
-    known = sorted({t for ts in own.values() for t in ts})
+    own = {r: token_sets(r.regex) for r in rules}
+    known = sorted({t for sets in own.values() for s in sets for t in s})
     counts = dict.fromkeys(known, 0)
     if known:
-        seen = pages.select(F.explode(F.array_intersect(tokens(_lower(F.col("url"))), F.array(*map(F.lit, known)))).alias("token"))
-        counts |= {r.token: r["count"] for r in seen.groupBy("token").count().collect()}
+        found = F.explode(tokens(_lower(F.col("url")))).alias("token")
+        seen = pages.select(found).groupBy("token").count()
+        if len(known) <= INLINE_RULES:
+            seen = pages.select(F.explode(F.array_intersect(tokens(_lower(F.col("url"))), F.array(*map(F.lit, known)))).alias("token")).groupBy("token").count()
+        else:
+            seen = seen.join(F.broadcast(pages.sparkSession.createDataFrame([(t,) for t in known], "token string")), "token", "left_semi")
+        counts |= {r.token: r["count"] for r in seen.collect()}
     filed: dict[str, list[PatternRule]] = {}
     for r in rules:
-        filed.setdefault(min(own[r], key=lambda t: (counts[t], t), default=""), []).append(r)
+        for t in min(own[r], key=lambda s: (sum(counts[t] for t in s), sorted(s)), default=[""]):
+            filed.setdefault(t, []).append(r)
     return filed
 
 
@@ -129,28 +167,33 @@ def _host_rule(host: Column, path: Column, rules: tuple[HostRule, ...], give: st
     return out
 
 
-def judge(pages: DataFrame, hosts: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[PatternRule, ...] = PATTERN_RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, and pattern: the pattern rule that
-    decided (the first by verdict, block before allow, then by name)."""
+_KIND = "array<struct<rank:string,name:string,regex:string>>"
+
+
+def fetched(pages: DataFrame, patterns: tuple[PatternRule, ...]) -> DataFrame:
+    """page_id, url, host, path and rules, the pattern rules that run on the URL."""
     filed = index(pages, patterns)
     always = filed.pop("", [])
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", _lower(F.col("url")).alias("url"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("found", F.array_intersect(tokens(F.col("url")), F.array(*map(F.lit, sorted(filed)))) if filed else F.expr("cast(array() as array<string>)"))
     one = lambda r: F.struct(F.lit("1" if r.verdict == "allow" else "0").alias("rank"), F.lit(r.name).alias("name"), F.lit(r.regex).alias("regex"))
-    kind = "array<struct<rank:string,name:string,regex:string>>"
-    base = F.array(*map(one, always)).cast(kind) if always else F.expr(f"cast(array() as {kind})")
-    if len(patterns) <= INLINE_RULES:
-        if filed:
-            pairs = [x for t in sorted(filed) for x in (F.lit(t), F.array(*map(one, filed[t])))]
-            fetched = F.flatten(F.transform("found", lambda t: F.element_at(F.create_map(*pairs), t)))
-            rows = rows.withColumn("rules", F.when(F.size("found") > 0, F.concat(fetched.cast(kind), base)).otherwise(base))
-        else:
-            rows = rows.withColumn("rules", base)
-    else:
-        rows = _joined(rows, filed).withColumn("rules", F.concat(F.coalesce(F.col("rules"), F.expr(f"cast(array() as {kind})")), base))
+    none = F.expr(f"cast(array() as {_KIND})")
+    base = F.array(*map(one, always)).cast(_KIND) if always else none
+    if len(patterns) > INLINE_RULES:
+        return _joined(rows, filed).withColumn("rules", F.concat(F.coalesce(F.col("rules"), none), base))
+    if not filed:
+        return rows.withColumn("rules", base)
+    rows = rows.withColumn("found", F.array_intersect(tokens(F.col("url")), F.array(*map(F.lit, sorted(filed)))))
+    pairs = [x for t in sorted(filed) for x in (F.lit(t), F.array(*map(one, filed[t])))]
+    own = F.array_distinct(F.flatten(F.transform("found", lambda t: F.element_at(F.create_map(*pairs), t))))
+    return rows.withColumn("rules", F.when(F.size("found") > 0, F.concat(own.cast(_KIND), base)).otherwise(base)).drop("found")
+
+
+def judge(pages: DataFrame, hosts: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[PatternRule, ...] = PATTERN_RULES) -> DataFrame:
+    """page_id, host, path, rule, verdict, and pattern: the pattern rule that
+    decided (the first by verdict, block before allow, then by name)."""
     hit = F.array_min(F.filter("rules", lambda r: F.regexp_like(F.col("url"), r.regex)))
-    rows = rows.withColumn("hit", hit)
+    rows = fetched(pages, patterns).withColumn("hit", hit)
     pattern = F.when(F.col("rule").isNull(), F.col("hit.name"))
     named = rows.withColumn("rule", _host_rule(F.col("host"), F.col("path"), hosts, "name")).withColumn("by_host", _host_rule(F.col("host"), F.col("path"), hosts, "verdict"))
     return named.select(
@@ -161,10 +204,11 @@ def judge(pages: DataFrame, hosts: tuple[HostRule, ...] = HOST_RULES, patterns:
 
 
 def _joined(rows: DataFrame, filed: dict[str, list[PatternRule]]) -> DataFrame:
-    """The same fetch for large rule sets: only rows with a filed token move."""
+    """The same fetch for large rule sets: the tokens of distinct URLs meet the
+    index, one row a token, and what they fetch goes back to the URLs."""
     spark = rows.sparkSession
     table = spark.createDataFrame([(t, "1" if r.verdict == "allow" else "0", r.name, r.regex) for t in filed for r in filed[t]], "token string, rank string, name string, regex string")
-    keyed = rows.withColumn("row", F.xxhash64("page_id", "url"))
-    some = keyed.where("size(found) > 0").select("row", F.explode("found").alias("token")).distinct()
-    fetched = some.join(table, "token").groupBy("row").agg(F.collect_set(F.struct("rank", "name", "regex")).alias("rules"))
-    return keyed.join(fetched, "row", "left").drop("row")
+    held = table.groupBy("token").agg(F.collect_list(F.struct("rank", "name", "regex")).alias("filed"))
+    some = rows.select("url", F.explode(tokens(F.col("url"))).alias("token")).join(F.broadcast(held), "token")
+    own = some.groupBy("url").agg(F.array_distinct(F.flatten(F.collect_list("filed"))).alias("rules"))
+    return rows.join(own, "url", "left")
