@@ -16,8 +16,8 @@ their log odds; a logistic regression turns a document's evidence into a score.
 Scale: one scan counts symbols; a task adds its counts to a table of fixed size
 (SYMBOLS ** ORDER cells), which bounds what is shuffled, collected and sent to
 the tasks, whatever the corpus. Labelled rows are a bounded sample (ROWS of each
-class, in hash order); the evidence kept is at most EVIDENCE entries. A last
-scan scores every whole text.
+class, in hash order); pieces are counted and compared in tables, and all that
+pass are evidence. A last scan scores every whole text.
 
 Defined cases: null and empty texts score as texts without evidence; without
 labelled rows of both classes every score is 0; repeated rows are scored each;
@@ -43,7 +43,6 @@ from .common import bound_batches, by_batch, hashed_sample
 SYMBOLS, ORDER, OTHER = 28, 4, 27
 #: Labelled rows of a class that are learned from, at most.
 ROWS = 4000
-EVIDENCE = 20_000
 #: Toxic documents that must hold a piece of evidence, its least log odds ratio
 #: and the least G statistic of its counts.
 HELD_BY, RATIO, STATISTIC = 3, 2.0, 22.0
@@ -385,15 +384,14 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
-def _counted(rows: DataFrame, make_words, known: set[str] | None) -> DataFrame:
+def _counted(rows: DataFrame, make_words) -> DataFrame:
     """piece, n: labelled documents that hold it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = make_words(), Counter()
         for batch in batches:
             for text in batch["text"].to_pylist():
-                found = {p for w in words(text) for p in pieces(w)}
-                counts.update(found if known is None else found & known)
+                counts.update({p for w in words(text) for p in pieces(w)})
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["piece", "n"])
 
     return rows.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -423,17 +421,13 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
 
         return words
 
-    held = {r.piece: r.n for r in _counted(texts[0], make_words, None).where(F.col("n") >= HELD_BY).orderBy(F.desc("n"), "piece").limit(10 * EVIDENCE).collect()}
-    clean = {r.piece: r.n for r in _counted(texts[1], make_words, set(held)).collect()}
-    evidence = {}
-    for piece, a in held.items():
-        b = clean.get(piece, 0)
-        rate = (a + b) / sum(sizes)
-        ratio = math.log((a + 0.5) / (sizes[0] + 1)) - math.log((b + 0.5) / (sizes[1] + 1))
-        g = 2 * sum(k * math.log(k / (rate * n)) for k, n in ((a, sizes[0]), (b, sizes[1])) if k)
-        if ratio >= RATIO and g >= STATISTIC:
-            evidence[piece] = ratio
-    evidence = dict(sorted(evidence.items(), key=lambda x: (-x[1], x[0]))[:EVIDENCE])
+    toxic = _counted(texts[0], make_words).where(F.col("n") >= HELD_BY).withColumnRenamed("n", "a")
+    both = toxic.join(_counted(texts[1], make_words).withColumnRenamed("n", "b"), "piece", "left").select("piece", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    ratio = F.log((F.col("a") + 0.5) / (sizes[0] + 1)) - F.log((F.col("b") + 0.5) / (sizes[1] + 1))
+    rate = (F.col("a") + F.col("b")) / sum(sizes)
+    g = sum(F.when(F.col(c) > 0, 2 * F.col(c) * F.log(F.col(c) / (rate * n))).otherwise(0) for c, n in (("a", sizes[0]), ("b", sizes[1])))
+    told = both.select("piece", ratio.alias("ratio")).where((F.col("ratio") >= RATIO) & (g >= STATISTIC))
+    evidence = {r.piece: r.ratio for r in told.orderBy(F.desc("ratio"), "piece").collect()}
     first = Model(language, evidence, (), True)
     x = [np.array([r.x for r in _inputs(t, first).collect()]).reshape(-1, 3) for t in texts]
     share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
