@@ -29,10 +29,26 @@ def compact(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\s+", "")
 
 
-def encode(text: Column) -> Column:
-    """Codes of the characters of text; unknown ones are 0."""
-    chars = F.filter(F.split(compact(text), ""), lambda c: c != "")
-    return F.transform(chars, lambda c: F.greatest(F.position(c, F.lit(DENSITY)) - 1, F.lit(0)))
+#: Private letters that stand for the codes while a text is encoded; a text's own
+#: become one that stands for none.
+_CODED = 0xE000
+_LETTERS = "".join(chr(_CODED + i) for i in range(len(DENSITY)))
+_NO_LETTER = chr(_CODED + 0xFF)
+#: Types by code: digits' to 9, marks' to 55, letters'.
+_TYPES = "".join("n" if i <= 9 else "e" if i <= 55 else "a" for i in range(len(DENSITY)))
+
+
+def encode(text: Column, unknown: int = 0) -> Column:
+    """Codes of the characters of text."""
+    chars = F.filter(F.split(F.translate(compact(text), DENSITY + _LETTERS, _LETTERS + _NO_LETTER * len(_LETTERS)), ""), lambda c: c != "")
+    code = lambda c: F.ascii(c) - _CODED
+    return F.transform(chars, lambda c: F.when(code(c).between(0, MAX_CODE), code(c)).otherwise(unknown))
+
+
+def types(text: Column) -> Column:
+    """A string of the types of the characters of text: n, e or a; unknown ones have
+    code 0 and are n."""
+    return F.regexp_replace(F.translate(compact(text), DENSITY, _TYPES), "(?s)[^nea]", "n")
 
 
 def stripped(value: Column) -> Column:
@@ -97,19 +113,6 @@ def grams(word: Column, n: int) -> Column:
 
 
 def tax_id_score(text: Column) -> Column:
-    """How surely text is a tax id, or the word that announces one."""
-    t = F.regexp_replace(F.upper(F.trim(text)), r"[^A-ZÑ&0-9]", "")
-    return (
-        F.when(t.rlike(r"^[A-ZÑ&]{3,4}[0-9]{6}[A-Z0-9]{3}$"), 0.95)
-        .when(t.rlike(r"^[A-ZÑ&]{3,4}[0-9]{6}[A-Z0-9]{2}$"), 0.85)
-        .when(t.rlike(r"^[A-ZÑ&]{3,4}[0-9]{6}$"), 0.75)
-        .when(t == "RFC", 0.8)
-        .when(t.contains("RFC"), 0.7)
-        .otherwise(0.0)
-    )
-
-
-def noisy_tax_id_score(text: Column) -> Column:
     """How surely noisy text (lower case) holds a tax id, or is the word that
     announces one: by its length, then by patterns that are searched in it."""
     t = F.coalesce(text, F.lit(""))
@@ -156,6 +159,23 @@ def date_score(text: Column) -> Column:
     return score.when(t.rlike(f"(?id){ANNOUNCING[2]}"), 0.7).otherwise(0.0)
 
 
-def char_type(code: Column) -> Column:
-    """n for digits' codes, e for marks', a for letters'."""
-    return F.when(code <= 9, "n").when(code <= 55, "e").otherwise("a")
+def search(text: Column) -> Column:
+    """What text is by patterns alone: a struct of field, word_found, similarity,
+    query and method, of a tax id before a date; null where it is neither, or shorter
+    than two characters."""
+    tax, date = tax_id_score(text), date_score(text)
+    word = (
+        F.when(date == 0.95, "fecha")
+        .when(text.rlike(f"(?id){ANNOUNCING[0]}"), "fecha")
+        .when(text.rlike(f"(?id){ANNOUNCING[1]}") | text.rlike("(?d)h.*o.*r"), "hora")
+        .otherwise("fecha")
+    )
+    found = lambda field, word, score, method: F.struct(F.lit(field).alias("field"), word.alias("word_found"), score.alias("similarity"), text.alias("query"), F.lit(method).alias("method"))
+    id_word = F.when(F.length(text) <= 5, "rfc").otherwise("registrofederaldecontribuyentes")
+    long = F.length(text) >= 2
+    return F.when(long & (tax > 0), found("RFCProveedor", id_word, tax, "regex_rfc")).when(long & (date > 0), found("FechaDocumento", word, date, "regex_fecha"))
+
+
+def number_or(value: Column, default: float = 0.0) -> Column:
+    """The value as a double, default where it reads as none."""
+    return F.coalesce(value.try_cast("double"), F.lit(default))

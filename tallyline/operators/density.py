@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import encode
 
@@ -12,14 +14,26 @@ EPS, MIN_SAMPLES = 2.0, 2
 
 def statistics(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Sample moments and quartiles of the codes of text, for texts of two
-    characters or more."""
-    codes = rows.select(*keys, F.explode(encode(F.col("text"))).alias("code"))
-    n, s = F.count("code"), F.coalesce(F.stddev_samp("code"), F.lit(0.0))
-    quartiles = F.percentile("code", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    each = codes.groupBy(*keys).agg(n.alias("n"), F.avg("code").alias("mean"), s.alias("std_dev"), quartiles.alias("q"), F.skewness("code").alias("g")).where("n > 1")
+    characters or more; all of a row's are computed from its own codes. Rows are told
+    apart by keys."""
+    codes = F.array_sort(F.transform(encode(F.col("text")), lambda c: c.cast("double")))
+    each = rows.select(*keys, codes.alias("codes")).where("size(codes) > 1")
+    n = F.size("codes")
+    total = lambda of: F.aggregate("codes", F.lit(0.0), lambda a, c: a + of(c))
+    each = each.select(*keys, n.cast("long").alias("n"), "codes", (total(lambda c: c) / n).alias("mean"))
+    gap = lambda c: c - F.col("mean")
+    each = each.select("*", F.sqrt(total(lambda c: gap(c) * gap(c)) / (F.col("n") - 1)).alias("std_dev"), (total(lambda c: gap(c) * gap(c) * gap(c)) / F.col("n")).alias("third"))
+
+    def quartile(share: float) -> Column:
+        at = (F.col("n") - 1) * share
+        low = F.floor(at).cast("int")
+        below, above = F.get("codes", low), F.get("codes", F.least(low + 1, n - 1))
+        return below + (above - below) * (at - low)
+
+    quartiles = {name: quartile(share) for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))}
     # the third moment over the sample deviation: 0 where all codes are equal
-    skew = F.when(F.col("std_dev") == 0, 0.0).otherwise(F.coalesce(F.col("g"), F.lit(0.0)) * F.pow((F.col("n") - 1) / F.col("n"), 1.5))
-    return each.select(*keys, "n", "mean", "std_dev", F.get("q", F.lit(0)).alias("p25"), F.get("q", F.lit(1)).alias("p50"), F.get("q", F.lit(2)).alias("p75"), (F.get("q", F.lit(2)) - F.get("q", F.lit(0))).alias("iqr"), skew.alias("skewness"))
+    skew = F.when(F.col("std_dev") == 0, 0.0).otherwise(F.col("third") / F.pow("std_dev", F.lit(3.0)))
+    return each.select(*keys, "n", "mean", "std_dev", *[c.alias(k) for k, c in quartiles.items()], (quartiles["p75"] - quartiles["p25"]).alias("iqr"), skew.alias("skewness"))
 
 
 def geometry(lines: DataFrame, page_size: float) -> DataFrame:
@@ -50,36 +64,68 @@ def scaled(rows: DataFrame, names: tuple[str, ...] = FEATURES) -> DataFrame:
 
 
 def neighbours(rows: DataFrame, eps: float = EPS, names: tuple[str, ...] = FEATURES) -> DataFrame:
-    """doc_id, a, b: pairs a < b of lines of one page within eps."""
+    """doc_id, a, b: pairs a < b of lines of one page within eps. Lines meet those
+    whose first feature is in the same strip of width eps, or in one beside it."""
     point = F.array(*[F.col(c).cast("double") for c in names])
-    each = rows.select("doc_id", "line_no", point.alias("p"))
-    other = each.select("doc_id", F.col("line_no").alias("b"), F.col("p").alias("q"))
-    met = each.withColumnRenamed("line_no", "a").join(other, "doc_id").where("a < b")
+    strip = F.floor(F.get("p", F.lit(0)) / eps)
+    each = rows.select("doc_id", "line_no", point.alias("p")).withColumn("strip", strip)
+    other = each.select("doc_id", F.col("line_no").alias("b"), F.col("p").alias("q"), F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1)).alias("strip"))
+    met = each.withColumnRenamed("line_no", "a").join(other, ["doc_id", "strip"]).where("a < b")
     square = F.aggregate(F.zip_with("p", "q", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     return met.where(square <= eps * eps).select("doc_id", "a", "b")
 
 
-def clusters(rows: DataFrame, eps: float = EPS, names: tuple[str, ...] = FEATURES) -> DataFrame:
-    """doc_id, line_no, label: density clusters for two samples, which are the
-    components of the neighbour graph; points alone are noise (-1). Labels count
-    from 0 in the order of each cluster's first line. A page is folded in one
-    pass over its edges."""
-    nodes = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list("line_no")).alias("nodes"))
-    edges = neighbours(rows, eps, names).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("edges"))
-    both = nodes.join(edges, "doc_id", "left")
-    start = F.transform("nodes", lambda x: F.struct(x.alias("node"), x.alias("root")))
-
-    def merge(state, e):
-        root = lambda x: F.get(F.filter(state, lambda s: s.node == x), F.lit(0)).root
-        low, high = F.least(root(e.a), root(e.b)), F.greatest(root(e.a), root(e.b))
-        return F.transform(state, lambda s: F.struct(s.node.alias("node"), F.when(s.root == high, low).otherwise(s.root).alias("root")))
-
-    none = F.expr("cast(array() AS array<struct<a:int,b:int>>)")
-    folded = both.select("doc_id", F.explode(F.aggregate(F.coalesce("edges", none), start, merge)).alias("s")).select("doc_id", F.col("s.node").alias("line_no"), F.col("s.root").alias("root"))
-    size = F.count("*").over(W.partitionBy("doc_id", "root"))
-    sized = folded.withColumn("size", size)
-    rank = F.dense_rank().over(W.partitionBy("doc_id", F.col("size") > 1).orderBy("root")) - 1
-    return sized.select("doc_id", "line_no", F.when(F.col("size") > 1, rank).otherwise(-1).alias("label"))
+def page_labels(points: np.ndarray, eps: float, min_samples: int) -> np.ndarray:
+    """Density clusters of one page. A point with min_samples neighbours, itself
+    included, is a core; cores within eps share a cluster, numbered in the order of
+    their first cores; another point belongs to the first cluster with a core near
+    it, or is noise (-1). Memory grows with the points, not with their pairs."""
+    near = lambda i: np.flatnonzero(((points - points[i]) ** 2).sum(1) <= eps * eps)
+    n = len(points)
+    core = np.fromiter((len(near(i)) >= min_samples for i in range(n)), bool, n)
+    labels, found = np.full(n, -1), 0
+    for i in np.flatnonzero(core):
+        if labels[i] < 0:
+            todo = [i]
+            labels[i] = found
+            while todo:
+                for j in near(todo.pop()):
+                    if labels[j] < 0:
+                        labels[j] = found
+                        if core[j]:
+                            todo.append(j)
+            found += 1
+    return labels
+
+
+def clusters(rows: DataFrame, eps: float = EPS, names: tuple[str, ...] = FEATURES, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """doc_id, line_no, label: `page_labels` of every page. A task takes its pages
+    one after the other, in the order of their lines."""
+    point = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)]
+    dealt = rows.select("doc_id", "line_no", *point).repartition("doc_id").sortWithinPartitions("doc_id", "line_no")
+    keys = dealt.select("doc_id", "line_no").schema
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keys) + ", label int"
+
+    def run(frames):
+        held = None
+        for frame in frames:
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            last = held["doc_id"].iloc[-1] if len(held) else None
+            whole = len(held) - int((held["doc_id"] == last).to_numpy()[::-1].cumprod().sum()) if len(held) else 0
+            if whole:  # the last page may go on in the next frame
+                yield labelled(held.iloc[:whole])
+                held = held.iloc[whole:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield labelled(held)
+
+    def labelled(frame):
+        points = frame.iloc[:, 2:].to_numpy()
+        doc = frame["doc_id"].to_numpy()
+        cuts = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1), len(doc)]
+        label = np.concatenate([page_labels(points[a:b], eps, min_samples) for a, b in zip(cuts, cuts[1:])])
+        return frame[["doc_id", "line_no"]].assign(label=label.astype(np.int32))
+
+    return dealt.where("doc_id IS NOT NULL").mapInPandas(run, schema)
 
 
 def tabular_interval(labels: DataFrame) -> DataFrame:

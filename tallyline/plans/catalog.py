@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import geometry, text
-from ..operators import correct, density, keywords, lines, pixels, reconcile, sinks, structure, vectors
+from ..operators import correct, density, keywords, lines, pixels, reconcile, sinks, structure, updates, vectors
 from ..sources import fixtures
 from ..sources.fixtures import table
 from ..sources.shared import written
@@ -89,28 +89,30 @@ def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(density.scaled(density.features(_lines(spark, sf), PAGE_SIZE)))
 
 
-#: Features whose distances no rounding can move across the radius.
-_FLAT = ("bbox_width", "n")
+def _labels(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    found = _lines(spark, sf)
+    return found, density.clusters(density.scaled(density.features(found, PAGE_SIZE)))
 
 
-def _labels(spark: SparkSession, sf: str) -> DataFrame:
-    rows = density.features(_lines(spark, sf), PAGE_SIZE)
-    return density.clusters(rows.select("doc_id", "line_no", *_FLAT), 20.0, _FLAT)
+def dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return _labels(spark, sf)[1]
 
 
-def dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return _labels(spark, sf)
+def dbscan_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Two dimensions of the vectors of each label, with a core of four points."""
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    points = table(spark, sf, "embeddings").where("label IS NOT NULL").select(F.col("label").alias("doc_id"), F.col("vec_id").cast("int").alias("line_no"), at(0).alias("x"), at(1).alias("y"))
+    return density.clusters(density.scaled(points, ("x", "y")), 0.3, ("x", "y"), 4)
 
 
 def main_cluster_interval(spark: SparkSession, sf: str) -> DataFrame:
-    return density.tabular_interval(_labels(spark, sf))
+    return density.tabular_interval(_labels(spark, sf)[1])
 
 
 def tabular_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole detector with its own parameters; rows only."""
-    found = _lines(spark, sf)
-    rows = density.scaled(density.features(found, PAGE_SIZE))
-    return density.mark_tabular(found, density.tabular_interval(density.clusters(rows))).select("doc_id", "line_no", "tabular_line")
+    """The whole detector."""
+    found, labels = _labels(spark, sf)
+    return density.mark_tabular(found, density.tabular_interval(labels)).select("doc_id", "line_no", "tabular_line")
 
 
 def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,11 +124,33 @@ def header_line(spark: SparkSession, sf: str) -> DataFrame:
     return keywords.header_lines(_assigned(spark, sf), keywords.lexicon(spark))
 
 
+#: Entries of fields with several words, whose statistics count.
+FIELD_WORDS = (("subtotal", "subtotal"), ("total", "total"), ("montototal", "total"), ("importetotal", "total"), ("fecha", "date"), ("fechaemision", "date"), ("iva", "tax"), ("folio", "folio"), ("foliofiscal", "folio"))
+
+
+def keyword_match_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries' own words, whole and without one of their letters, against a
+    lexicon with statistics."""
+    entries = keywords.with_statistics(keywords.lexicon(spark, FIELD_WORDS, ()))
+    without = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.substring(F.col("word"), F.lit(1), i - 1), F.substring(F.col("word"), i + 1, F.length("word"))))
+    asked = entries.select(F.explode(F.concat(F.array("word"), without)).alias("word"))
+    return _rounded(keywords.match(asked, entries).drop("header_category"))
+
+
 def _codes(spark: SparkSession, sf: str) -> DataFrame:
+    """day and code of every order: dates, tax ids and words, with noise."""
     o = table(spark, sf, "orders")
-    day = F.array(F.date_format("o_orderdate", "dd/MM/yyyy"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "d.M.yyyy"), F.concat(F.lit("31/02/"), F.date_format("o_orderdate", "yyyy")))
-    rfc = F.concat(F.lit("ABC"), F.date_format("o_orderdate", "yyMMdd"), F.substring(F.lit("XY1"), F.lit(1), (F.col("o_orderkey") % 4).cast("int")))
-    return o.select("o_orderkey", F.element_at(day, (F.col("o_orderkey") % 4 + 1).cast("int")).alias("day"), F.when(F.col("o_orderkey") % 5 == 0, "R.F.C.").otherwise(rfc).alias("code"))
+    at = lambda f: F.date_format("o_orderdate", f)
+    days = (at("dd/MM/yyyy"), at("yyyy-MM-dd"), at("d.M.yyyy"), F.concat(F.lit("31/02/"), at("yyyy")), F.concat(F.lit("Fecha: "), at("dd/MM/yyyy")), at("ddMMyyyy"), at("dd-MM-yy"), *map(F.lit, ("fecha", "fxecxxha", "hora de", "hoxxxra", "total")))
+    code = lambda a, b: F.concat(F.lit(a), at("yyMMdd"), F.lit(b))
+    codes = (code("abcd", "xy1"), code("abc", "x1"), code("abc ", " a"), F.lit("rfc"), F.lit("r.f.c"), F.lit("r..fc"), code("rfc: abc", "xy1"), F.lit("abc"), F.lit("ABCDE-9"), F.lit("R.F.C."))
+    pick = lambda xs: F.element_at(F.array(*xs), (F.col("o_orderkey") % len(xs) + 1).cast("int"))
+    return o.select("o_orderkey", pick(days).alias("day"), pick(codes).alias("code"))
+
+
+def regex_search(spark: SparkSession, sf: str) -> DataFrame:
+    each = _codes(spark, sf).select("o_orderkey", F.posexplode(F.array("day", "code")).alias("which", "q"))
+    return each.select("o_orderkey", "which", text.search(F.col("q")).alias("s")).where("s IS NOT NULL").select("o_orderkey", "which", "s.*")
 
 
 def rfc_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,12 +243,61 @@ def polygon_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(lines.polygon_gaps(_assigned(spark, sf)))
 
 
+def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of users that are no customer in credit."""
+    credit = table(spark, sf, "customer").where("c_acctbal > 0")
+    return sinks.orphans(table(spark, sf, "events"), credit, "user_id", "c_custkey").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def record_inserts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as records; those of no known type have the default one."""
+    kind = F.when(F.col("o_orderstatus") == "F", "factura").when(F.col("o_orderstatus") == "O", "nota")
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("FolioDocumento"), kind.alias("TipoDocumento"), F.col("o_totalprice").alias("MontoTotalDocumento"))
+    made = sinks.records(rows).groupBy("TipoDocumento").agg(F.countDistinct("IDRegistro").alias("n"), F.sum("MontoTotalDocumento").cast("double").alias("total"))
+    return made.withColumn("total", F.round("total", 2))
+
+
+def line_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Places and codes of the characters of whole lines."""
+    each = vectors.line_characters(fixtures.word_layout(spark, sf), ["doc_id", "line_no"], "xmin")
+    return each.groupBy("doc_id", "line_no").agg(F.count("*").alias("n"), F.sum(F.col("place") * F.col("code")).cast("long").alias("weighted"))
+
+
+def abbreviations(spark: SparkSession, sf: str) -> DataFrame:
+    words = _words(spark, sf).select(F.col("text").alias("word")).distinct()
+    return words.withColumn("abbreviation", correct.is_abbreviation(F.col("word")))
+
+
+def header_texts(spark: SparkSession, sf: str) -> DataFrame:
+    placed = _assigned(spark, sf)
+    header = placed.groupBy("doc_id").agg(F.min("line_no").alias("header_line"))
+    return updates.header_texts(placed, header).select("doc_id", F.array_join("header", "|").alias("header"))
+
+
+def recognised_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of each line read again, but for every third."""
+    w = _words(spark, sf).withColumnRenamed("text", "ocr_text")
+    new = F.when(F.col("word_no") % 3 != 0, F.struct(F.concat("ocr_text", F.lit("~")).alias("text"), (F.col("word_no") % 100 + 0.5).cast("double").alias("confidence")))
+    lists = w.groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("word_no", new.alias("new")))).alias("x"))
+    results = lists.select("doc_id", "line_no", F.transform("x", lambda x: x.word_no).alias("ids"), F.transform("x", lambda x: x.new).alias("results"))
+    return updates.recognised(w, results, ["doc_id", "line_no"], "word_no")
+
+
+def image_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as images whose sides are made of their ids and urls."""
+    name = F.concat(F.lit("page_"), F.col("page_id").cast("string"))
+    p = table(spark, sf, "pages").select(
+        name.alias("doc_id"), F.concat(name, F.lit(".png")).alias("image_name"), F.lit("png").alias("format"), (F.col("page_id") % 5 * 100).alias("width"), F.length(F.coalesce("url", F.lit(""))).alias("height"),
+        F.octet_length(F.coalesce("html", F.lit(""))).alias("size"), F.lit("2024-01-01").alias("date_creation"), F.when(F.col("page_id") % 2 == 0, "L").alias("color"),
+    )
+    return updates.metadata(p).drop("date_creation")
+
+
 def correction_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows only: no SQL has the weighted distance."""
     words = fixtures.invoices(spark, sf).select(F.lower("ocr_text").alias("word")).where("word RLIKE '^[a-z]{3,}$'").distinct()
     names = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
     heads = keywords.lexicon(spark).select("word")
-    return correct.candidates(words, names.unionByName(heads))
+    return _rounded(correct.candidates(words, names.unionByName(heads)))
 
 
 def correction_band(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,6 +312,7 @@ QUERIES = {
         density_encode_stats, morphological_profile, atomic_vectors, junk_filter, clean_tokens, line_reconstruct, line_geometry_features, standard_scale,
         dbscan_labels, main_cluster_interval, tabular_lines, keyword_match, header_line, rfc_score, date_score, structured_cells, invoice_tables,
         recent_records, orphan_orders, pixel_stats, contrast_decision, sharpness_decision, salt_pepper, otsu_binarized, line_differentials, polygon_gaps,
-        correction_candidates, correction_band,
+        correction_candidates, correction_band, dbscan_points, keyword_match_statistics, regex_search, orphan_events, record_inserts, line_vectors,
+        abbreviations, header_texts, recognised_update, image_metadata,
     )
 }

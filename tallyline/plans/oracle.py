@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from ..functions.text import DENSITY
-from ..operators.keywords import FIELDS, HEADINGS, WEIGHTS
-from ..sources.fixtures import HEADERS
+# Fixed values, written out here so that they don't come from the code under test.
+_DENSITY = "0123456789.,$¢/#°()%—<>+-=*^\";\\|[]{}@&_¿?¡!~`':©®™ÓÁÚÜÑWXZYQUKHOGFLJEVTIRMNSBDPCAwküúyxñóqjévfzhígápbudmltcnoisrae"
+_WEIGHTS = {2: 0.5, 3: 0.7, 4: 0.85, 5: 1.0}
+_FIELDS = (("subtotal", "subtotal"), ("proveedor", "supplier"), ("fechaemision", "date"), ("foliofiscal", "folio"), ("montototal", "total"))
+_HEADINGS = (("cantidad", "quantity"), ("descripcion", "description"), ("producto", "description"), ("preciounitario", "unit_price"), ("precio", "unit_price"), ("importe", "amount"))
+_SHARES = {
+    "e": 0.1368, "a": 0.1253, "o": 0.0868, "i": 0.0625, "s": 0.0798, "n": 0.0671, "r": 0.0687, "u": 0.0393, "l": 0.0497,
+    "t": 0.0463, "d": 0.0586, "c": 0.0468, "p": 0.0251, "m": 0.0315, "b": 0.0142, "g": 0.0101, "y": 0.0109, "f": 0.0070,
+    "v": 0.0090, "k": 0.0002, "h": 0.0070, "q": 0.0088, "j": 0.0044, "x": 0.0022, "z": 0.0052, "w": 0.0001,
+}
+_MISREAD = {"0o": 0.3, "1l": 0.3, "1i": 0.3, "5s": 0.3, "6g": 0.3, "8b": 0.3, "9g": 0.3, "ce": 0.4, "nm": 0.4, "uv": 0.4}
+_HEADERS = (("Cantidad", "Descripcion", "Precio", "Importe"), ("Cantldad", "Descripción", "Preclo", "lmporte"), ("Cant.", "Producto", "P.Unitario", "Total"))
 
-_ENC = "'" + DENSITY.replace("'", "''") + "'"
+_ENC = "'" + _DENSITY.replace("'", "''") + "'"
 _NUMBER = r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
 _PARSED = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
 
@@ -14,6 +23,10 @@ _ROWS = """r AS (SELECT l_orderkey AS doc_id, l_partkey, l_quantity, l_extendedp
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount)::INT AS row_id FROM lineitem)"""
 
 
+_PARSES = f"""parsed AS (SELECT *, trim(regexp_replace(text, '[$,% ]', '', 'g')) AS s FROM cells),
+num AS (SELECT doc_id, row_id, col_id, text, regexp_matches(s, '{_NUMBER}') AS numeric, CASE WHEN regexp_matches(s, '{_NUMBER}') THEN replace(s, '_', '')::DOUBLE END AS v FROM parsed)"""
+
+
 def _triples(kind: str) -> str:
     src = (
         "SELECT doc_id, row_id, l_partkey, l_discount AS c, l_extendedprice AS pu, l_extendedprice * l_discount AS mtl FROM r WHERE l_discount > 0"
@@ -27,8 +40,7 @@ cells AS (
   UNION ALL SELECT doc_id, row_id, 1, printf('%.2f', c) FROM tp
   UNION ALL SELECT doc_id, row_id, 2, '$' || format('{{:,.2f}}', price) FROM tp
   UNION ALL SELECT doc_id, row_id, 3, CASE WHEN row_id % 5 = 0 THEN '' ELSE printf('%.2f', mtl) END FROM tp),
-parsed AS (SELECT *, trim(regexp_replace(text, '[$,% ]', '', 'g')) AS s FROM cells),
-num AS (SELECT doc_id, row_id, col_id, text, regexp_matches(s, '{_NUMBER}') AS numeric, CASE WHEN regexp_matches(s, '{_NUMBER}') THEN replace(s, '_', '')::DOUBLE END AS v FROM parsed)"""
+{_PARSES}"""
 
 
 _TYPES = """typed AS (SELECT doc_id, col_id, CASE WHEN avg(numeric::INT) >= 0.6 THEN 'cuantitativo' ELSE 'texto' END AS semantic_type FROM num GROUP BY ALL),
@@ -47,9 +59,9 @@ winner AS (SELECT doc_id, c, pu, mtl, score FROM (SELECT *, row_number() OVER (P
   WHERE score > 0 AND doc_id IN (SELECT doc_id FROM types GROUP BY doc_id HAVING max(q) >= 3)) WHERE k = 1)"""
 
 
-def _reconcile(kind: str, keep: bool) -> str:
+def _reconcile(kind: str, keep: bool, cells: str | None = None) -> str:
     restore = "f.value IS NULL" if keep else "f.value IS NULL OR NOT n.numeric"
-    return f"""WITH {_triples(kind)}, {_TYPES}, {_votes(kind)},
+    return f"""WITH {cells or _triples(kind)}, {_TYPES}, {_votes(kind)},
 role AS (SELECT n.*, CASE n.col_id WHEN w.c THEN 'c' WHEN w.pu THEN 'pu' WHEN w.mtl THEN 'mtl' END AS role FROM num n JOIN types t USING (doc_id, col_id) JOIN winner w USING (doc_id) WHERE t.q IS NOT NULL),
 wide AS (SELECT doc_id, row_id, max(v) FILTER (role = 'c') AS c, max(v) FILTER (role = 'pu') AS pu, max(v) FILTER (role = 'mtl') AS mtl FROM role GROUP BY ALL),
 med AS (SELECT doc_id, median(v) FILTER (role = 'c') AS mc, median(v) FILTER (role = 'pu') AS mp, median(v) FILTER (role = 'mtl') AS mm FROM role GROUP BY ALL),
@@ -70,7 +82,7 @@ wd AS (SELECT doc_id, line_no, unnest(range(len(w))) AS word_no, unnest(w) AS te
 wx AS (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id, line_no ORDER BY word_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 10.0::DOUBLE AS x FROM wd),
 words AS (SELECT doc_id, line_no, word_no, text, ((doc_id * 31 + word_no * 17) % 100)::DOUBLE AS confidence, x::DOUBLE AS xmin, line_no * 20.0::DOUBLE AS ymin, (x + length(text) * 10)::DOUBLE AS xmax, (line_no * 20.0 + 16)::DOUBLE AS ymax FROM wx WHERE text <> '')"""
 
-_HEADS = ", ".join("[" + ", ".join(f"'{w}'" for w in h) + "]" for h in HEADERS)
+_HEADS = ", ".join("[" + ", ".join(f"'{w}'" for w in h) + "]" for h in _HEADERS)
 _INVOICES = f"""{_ROWS},
 bw AS (SELECT doc_id, row_id, list_concat(list_concat([printf('%.0f', l_quantity)], string_split(p_name, ' ')), [printf('%.2f', l_extendedprice / l_quantity), printf('%.2f', l_extendedprice)]) AS w FROM r JOIN part ON p_partkey = l_partkey),
 bs AS (SELECT doc_id, row_id, CASE WHEN doc_id % 7 = 0 AND row_id % 3 = 0 THEN w[1 : 1 + row_id % 2] ELSE w END AS w FROM bw),
@@ -112,30 +124,87 @@ _GEOMETRY = """ge AS (SELECT doc_id, line_no, xmax - xmin AS bbox_width,
   100.0 / 480000 * (xmax - xmin) * (ymax - ymin) AS ratio_area, (xmax - xmin) / (ymax - ymin) AS aspect_ratio
   FROM (SELECT *, lag(cx) OVER w - cx AS dx, lag(cy) OVER w - cy AS dy FROM lines WHERE doc_id NOT IN (SELECT doc_id FROM lines WHERE ymax = ymin) WINDOW w AS (PARTITION BY doc_id ORDER BY cy, line_no)))"""
 _FEATURES = ("n", "mean", "std_dev", "iqr", "p50", "skewness", "bbox_width", "align_prev", "ratio_area", "aspect_ratio")
-_LABELS = f"""WITH {_LINES}, {_stats("lines", "doc_id, line_no")}, {_GEOMETRY},
-fe AS (SELECT doc_id, line_no, n, bbox_width FROM st JOIN ge USING (doc_id, line_no)),
-ed AS (SELECT a.doc_id, a.line_no AS a, b.line_no AS b FROM fe a JOIN fe b USING (doc_id) WHERE a.line_no <> b.line_no AND (a.bbox_width - b.bbox_width) ** 2 + (a.n - b.n) ** 2 <= 400),
-reach AS (SELECT doc_id, line_no AS a, line_no AS b FROM fe UNION SELECT reach.doc_id, reach.a, ed.b FROM reach JOIN ed ON ed.doc_id = reach.doc_id AND ed.a = reach.b),
-ro AS (SELECT doc_id, a AS line_no, min(b) AS root, count(*) AS size FROM reach GROUP BY ALL),
-labels AS (SELECT doc_id, line_no, (CASE WHEN size > 1 THEN dense_rank() OVER (PARTITION BY doc_id, size > 1 ORDER BY root) - 1 ELSE -1 END)::INT AS label FROM ro)"""
-
-_LEXICON = list(dict.fromkeys([w for w, _ in FIELDS] + [w for w, _ in HEADINGS]))
+_SCALED = f"""{_LINES}, {_stats("lines", "doc_id, line_no")}, {_GEOMETRY}, fe AS (SELECT * FROM st JOIN ge USING (doc_id, line_no)),
+z AS (SELECT doc_id, line_no, [{", ".join(f"(({c} - avg({c}) OVER d) / CASE WHEN stddev_pop({c}) OVER d < 1e-9 THEN 1 ELSE stddev_pop({c}) OVER d END)::DOUBLE" for c in _FEATURES)}] AS p FROM fe WINDOW d AS (PARTITION BY doc_id))"""
+
+
+def _clusters(eps: float, least: int) -> str:
+    """CTE labels: density clusters of z(doc_id, line_no, p)."""
+    return f"""nb AS (SELECT a.doc_id, a.line_no AS a, b.line_no AS b FROM z a JOIN z b ON a.doc_id = b.doc_id AND list_sum(list_transform(range(1, len(a.p) + 1), lambda i: (a.p[i] - b.p[i]) ** 2)) <= {eps} ** 2),
+core AS (SELECT doc_id, a FROM nb GROUP BY ALL HAVING count(*) >= {least}),
+ce AS (SELECT nb.* FROM nb SEMI JOIN core c ON c.doc_id = nb.doc_id AND c.a = nb.a SEMI JOIN core d ON d.doc_id = nb.doc_id AND d.a = nb.b),
+reach AS (SELECT doc_id, a, a AS b FROM core UNION SELECT reach.doc_id, reach.a, ce.b FROM reach JOIN ce ON ce.doc_id = reach.doc_id AND ce.a = reach.b),
+ro AS (SELECT doc_id, a, min(b) AS root FROM reach GROUP BY ALL),
+cl AS (SELECT doc_id, a, dense_rank() OVER (PARTITION BY doc_id ORDER BY root) - 1 AS label FROM ro),
+labels AS (SELECT z.doc_id, z.line_no, coalesce(any_value(own.label), min(near.label), -1)::INT AS label FROM z LEFT JOIN cl own ON own.doc_id = z.doc_id AND own.a = z.line_no
+  LEFT JOIN nb ON nb.doc_id = z.doc_id AND nb.a = z.line_no LEFT JOIN cl near ON near.doc_id = nb.doc_id AND near.a = nb.b GROUP BY z.doc_id, z.line_no)"""
+
+
+_LABELS = f"WITH {_SCALED}, {_clusters(2.0, 2)}"
+_MAIN = """sz AS (SELECT doc_id, label, count(*) AS size, min(line_no) AS first_line, max(line_no) AS last_line FROM labels WHERE label >= 0 GROUP BY ALL),
+main AS (SELECT doc_id, label, size, first_line, last_line FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, label) AS k FROM sz) WHERE k = 1)"""
+
+_LEXICON = list(dict.fromkeys([w for w, _ in _FIELDS] + [w for w, _ in _HEADINGS]))
 _LEX = "lex AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{w}', {repr(dict(FIELDS).get(w)) if w in dict(FIELDS) else 'NULL'}, {repr(dict(HEADINGS).get(w)) if w in dict(HEADINGS) else 'NULL'})" for i, w in enumerate(_LEXICON)
+    f"({i}, '{w}', {repr(dict(_FIELDS).get(w)) if w in dict(_FIELDS) else 'NULL'}, {repr(dict(_HEADINGS).get(w)) if w in dict(_HEADINGS) else 'NULL'})" for i, w in enumerate(_LEXICON)
 ) + ") t(cand_id, word, key_field, header_category))"
 _GRAMS = lambda w, n: f"list_distinct(list_transform(range(1, length({w}) - {n} + 2), lambda i: substring({w}, i, {n})))"
 _NORMAL = "regexp_replace(strip_accents(lower(trim(ocr_text))), '[^a-z0-9]', '', 'g')"
 _COSINES = " + ".join(
-    f"CASE WHEN length(q) >= {n} AND length(word) >= {n} THEN round({w} * len(list_intersect({_GRAMS('q', n)}, {_GRAMS('word', n)})) / sqrt(len({_GRAMS('q', n)}) * len({_GRAMS('word', n)})), 12) ELSE 0 END" for n, w in WEIGHTS.items()
+    f"CASE WHEN length(q) >= {n} AND length(word) >= {n} THEN round({w} * len(list_intersect({_GRAMS('q', n)}, {_GRAMS('word', n)})) / sqrt(len({_GRAMS('q', n)}) * len({_GRAMS('word', n)})), 12) ELSE 0 END" for n, w in _WEIGHTS.items()
 )
 #: Every word against every entry.
 _MATCH = f"""{_LEX}, qs AS (SELECT DISTINCT {_NORMAL} AS q FROM polygons WHERE {_NORMAL} <> ''),
-sc AS (SELECT q, lex.*, ({_COSINES}) * 0.7 / {sum(WEIGHTS.values())} AS similarity FROM qs CROSS JOIN lex),
+sc AS (SELECT q, lex.*, ({_COSINES}) * 0.7 / {sum(_WEIGHTS.values())} AS similarity FROM qs CROSS JOIN lex),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(similarity, 9) DESC, cand_id) AS k FROM sc) WHERE k = 1),
 found AS (SELECT q AS query, word AS word_found, key_field, header_category, similarity FROM top WHERE round(similarity, 9) >= CASE WHEN length(word) <= 6 THEN 0.7 WHEN length(word) <= 10 THEN 0.65 ELSE 0.6 END)"""
 
-_CODES = """co AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%-d.%-m.%Y') ELSE '31/02/' || strftime(o_orderdate, '%Y') END AS day,
-  CASE WHEN o_orderkey % 5 = 0 THEN 'R.F.C.' ELSE 'ABC' || strftime(o_orderdate, '%y%m%d') || substring('XY1', 1, (o_orderkey % 4)::INT) END AS code FROM orders)"""
+_CODES = """co AS (SELECT o_orderkey,
+  CASE o_orderkey % 12 WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%-d.%-m.%Y') WHEN 3 THEN '31/02/' || strftime(o_orderdate, '%Y')
+    WHEN 4 THEN 'Fecha: ' || strftime(o_orderdate, '%d/%m/%Y') WHEN 5 THEN strftime(o_orderdate, '%d%m%Y') WHEN 6 THEN strftime(o_orderdate, '%d-%m-%y') WHEN 7 THEN 'fecha' WHEN 8 THEN 'fxecxxha' WHEN 9 THEN 'hora de' WHEN 10 THEN 'hoxxxra' ELSE 'total' END AS day,
+  CASE o_orderkey % 10 WHEN 0 THEN 'abcd' || strftime(o_orderdate, '%y%m%d') || 'xy1' WHEN 1 THEN 'abc' || strftime(o_orderdate, '%y%m%d') || 'x1' WHEN 2 THEN 'abc ' || strftime(o_orderdate, '%y%m%d') || ' a' WHEN 3 THEN 'rfc' WHEN 4 THEN 'r.f.c'
+    WHEN 5 THEN 'r..fc' WHEN 6 THEN 'rfc: abc' || strftime(o_orderdate, '%y%m%d') || 'xy1' WHEN 7 THEN 'abc' WHEN 8 THEN 'ABCDE-9' ELSE 'R.F.C.' END AS code FROM orders)"""
+# the searches in a text, as rules on a column named by {q}
+_TAX = """CASE WHEN length({q}) >= 10 THEN CASE WHEN regexp_matches({q}, '(?i)[a-z]{{3,5}}\\d{{5,7}}[a-z0-9]{{2,4}}') OR regexp_matches({q}, '(?i)[a-z]{{3,4}}.*\\d{{4,6}}.*[a-z0-9]{{1,3}}')
+    THEN CASE WHEN regexp_matches({q}, '^[a-z]{{4}}\\d{{6}}[a-z0-9]{{3}}') THEN 0.95 WHEN length({q}) <= 15 THEN 0.85 ELSE 0.75 END ELSE 0.0 END
+  WHEN length({q}) BETWEEN 2 AND 5 AND regexp_matches({q}, '(?i)r.{{0,2}}f.{{0,2}}c') THEN CASE WHEN regexp_full_match({q}, 'r.?f.?c') THEN 0.80 ELSE 0.70 END ELSE 0.0 END"""
+_FORMATS = "['%d/%m/%Y', '%d-%m-%Y', '%d.%m.%Y', '%d/%m/%y', '%d-%m-%y', '%d.%m.%y', '%Y/%m/%d', '%Y-%m-%d', '%Y.%m.%d', '%d%m%Y', '%d%m%y']"
+_DAY = f"""CASE WHEN try_strptime(regexp_replace({{q}}, '[^0-9/\\-.]', '', 'g'), {_FORMATS}) IS NOT NULL THEN 0.95
+  WHEN regexp_matches({{q}}, '(?i)f.{{{{0,2}}}}e.{{{{0,2}}}}c.{{{{0,2}}}}h.{{{{0,2}}}}a') THEN CASE WHEN regexp_full_match({{q}}, 'f.?e.?c.?h.?a') THEN 0.85 ELSE 0.75 END
+  WHEN regexp_matches({{q}}, '(?i)h.{{{{0,2}}}}o.{{{{0,2}}}}r.{{{{0,2}}}}a') THEN CASE WHEN regexp_full_match({{q}}, 'h.?o.?r.?a') THEN 0.85 ELSE 0.75 END
+  WHEN regexp_matches({{q}}, '(?i)[fh].{{{{0,3}}}}[eo].{{{{0,3}}}}[cr].{{{{0,3}}}}[ha]') THEN 0.7 ELSE 0.0 END"""
+_SEARCH = f"""WITH {_CODES}, q AS (SELECT o_orderkey, 0 AS which, day AS query FROM co UNION ALL SELECT o_orderkey, 1, code FROM co),
+sc AS (SELECT *, ({_TAX.format(q="query")})::DOUBLE AS tax, ({_DAY.format(q="query")})::DOUBLE AS date FROM q WHERE length(query) >= 2)
+SELECT o_orderkey, which, query, CASE WHEN tax > 0 THEN 'RFCProveedor' ELSE 'FechaDocumento' END AS field, CASE WHEN tax > 0 THEN tax ELSE date END AS similarity, CASE WHEN tax > 0 THEN 'regex_rfc' ELSE 'regex_fecha' END AS method,
+  CASE WHEN tax > 0 THEN CASE WHEN length(query) <= 5 THEN 'rfc' ELSE 'registrofederaldecontribuyentes' END
+    WHEN date = 0.95 OR regexp_matches(query, '(?i)f.{{0,2}}e.{{0,2}}c.{{0,2}}h.{{0,2}}a') THEN 'fecha'
+    WHEN regexp_matches(query, '(?i)h.{{0,2}}o.{{0,2}}r.{{0,2}}a') OR regexp_matches(query, 'h.*o.*r') THEN 'hora' ELSE 'fecha' END AS word_found
+FROM sc WHERE tax > 0 OR date > 0"""
+
+#: Words of the lexicon whose statistics count, and what is asked: each of them whole and without one of its letters.
+_FIELD_WORDS = (("subtotal", "subtotal"), ("total", "total"), ("montototal", "total"), ("importetotal", "total"), ("fecha", "date"), ("fechaemision", "date"), ("iva", "tax"), ("folio", "folio"), ("foliofiscal", "folio"))
+_WITH_STATS = f"""WITH lx AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{w}', '{f}')" for i, (w, f) in enumerate(_FIELD_WORDS))}) t(cand_id, word, key_field)),
+asked AS (SELECT DISTINCT q FROM (SELECT word AS q FROM lx UNION ALL SELECT substring(word, 1, i - 1) || substring(word, i + 1) FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM lx)) WHERE q <> ''),
+own AS (SELECT w, len(c) AS n, list_avg(c) AS mean, list_avg(list_transform(c, lambda x: (x - list_avg(c)) ** 2)) AS var FROM (SELECT w, list_transform(string_split(w, ''), lambda x: greatest(instr({_ENC}, x) - 1, 0)::DOUBLE) AS c FROM (SELECT q AS w FROM asked UNION SELECT word FROM lx))),
+bounds AS (SELECT key_field, min(var) AS v0, max(var) AS v1, min(sqrt(var)) AS s0, max(sqrt(var)) AS s1 FROM lx JOIN own ON w = word GROUP BY ALL),
+sv AS (SELECT w, b.key_field, [least(n / 20.0, 1.0), mean / 113.0, CASE WHEN v1 <> v0 THEN (var - v0) / (v1 - v0) ELSE 1.0 END, CASE WHEN s1 <> s0 THEN (sqrt(var) - s0) / (s1 - s0) ELSE 1.0 END]::DOUBLE[] AS s FROM own, bounds b),
+pair AS (SELECT q, lx.*, list_dot_product(a.s, e.s) AS ae, sqrt(list_dot_product(a.s, a.s)) * sqrt(list_dot_product(e.s, e.s)) AS size FROM asked CROSS JOIN lx JOIN sv a ON a.w = q AND a.key_field = lx.key_field JOIN sv e ON e.w = lx.word AND e.key_field = lx.key_field),
+sc AS (SELECT *, 0.7 * ({_COSINES}) / {sum(_WEIGHTS.values())} + 0.3 * CASE WHEN size = 0 THEN 0 ELSE ae / size END AS similarity FROM pair),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(similarity, 9) DESC, cand_id) AS k FROM sc) WHERE k = 1)
+SELECT q AS query, word AS word_found, key_field, round(similarity, 6) AS similarity FROM top WHERE round(similarity, 9) >= CASE WHEN length(word) <= 6 THEN 0.7 WHEN length(word) <= 10 THEN 0.65 ELSE 0.6 END"""
+
+#: The weighted distance, one character of the word a step; a row holds the distances to all beginnings of the entry.
+_DISTANCES = f"""WITH RECURSIVE {_INVOICES}, {_LEX},
+wds AS (SELECT DISTINCT lower(ocr_text) AS word FROM polygons WHERE regexp_matches(lower(ocr_text), '^[a-z]{{3,}}$')),
+dict AS (SELECT unnest(string_split(p_name, ' ')) AS entry FROM part UNION SELECT word FROM lex),
+pr AS (SELECT word, entry, string_split(word, '') AS a, string_split(entry, '') AS b, MAP {{{", ".join(f"'{x}': {c}, '{x[::-1]}': {c}" for x, c in _MISREAD.items())}}} AS costs FROM wds JOIN dict ON abs(length(word) - length(entry)) <= 2),
+dp AS (SELECT word, entry, 0 AS i, list_transform(range(0, len(b) + 1), lambda x: x::DOUBLE) AS r FROM pr
+  UNION ALL SELECT word, entry, i + 1, list_transform(range(0, len(b) + 1), lambda j: j + list_min(list_transform(range(0, j + 1), lambda k: m[k + 1] - k)))
+  FROM (SELECT dp.word, dp.entry, i, b, list_transform(range(0, len(b) + 1), lambda k: CASE WHEN k = 0 THEN r[1] + 1 ELSE least(r[k + 1] + 1, r[k] + CASE WHEN a[i + 1] = b[k] THEN 0.0 ELSE coalesce(costs[a[i + 1] || b[k]], 1.0) END) END)::DOUBLE[] AS m
+    FROM dp JOIN pr ON pr.word = dp.word AND pr.entry = dp.entry WHERE i < len(a))),
+sh AS (SELECT entry, product(coalesce(MAP {{{", ".join(f"'{c}': {v}" for c, v in _SHARES.items())}}}[c], 0.001)) AS share FROM (SELECT DISTINCT entry, unnest(range(length(entry))) AS i, unnest(string_split(entry, '')) AS c FROM dict) GROUP BY ALL),
+ds AS (SELECT word, entry, r[len(r)] AS distance, r[len(r)] - 0.1 * share AS score FROM dp JOIN sh USING (entry) WHERE i = length(word) AND round(r[len(r)], 9) <= 2)
+SELECT word, entry, round(distance, 6) AS distance, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY round(score, 9), entry)::INT AS rank FROM ds) WHERE rank <= 5"""
 
 _CELLS = f"""WITH {_LINES},
 hl AS (SELECT doc_id, min(line_no) AS hline FROM assigned GROUP BY ALL),
@@ -160,9 +229,7 @@ _LETTERS_SQL = "CASE c {} ELSE ln(0.001) END"
 
 
 def _likelihood() -> str:
-    from ..operators.correct import LETTERS
-
-    return _LETTERS_SQL.format(" ".join(f"WHEN '{c}' THEN ln({p})" for c, p in LETTERS.items()))
+    return _LETTERS_SQL.format(" ".join(f"WHEN '{c}' THEN ln({p})" for c, p in _SHARES.items()))
 
 
 SQL = {
@@ -194,13 +261,11 @@ SELECT doc_id, place, count(*) AS n, sum(greatest(instr({_ENC}, c) - 1, 0)) AS c
 z AS (SELECT doc_id, line_no, {", ".join(f"({c} - avg({c}) OVER d) / CASE WHEN stddev_pop({c}) OVER d < 1e-9 THEN 1 ELSE stddev_pop({c}) OVER d END AS {c}" for c in _FEATURES)} FROM fe WINDOW d AS (PARTITION BY doc_id))
 SELECT doc_id, line_no, {_r(*_FEATURES)} FROM z""",
     "dbscan_labels": f"{_LABELS} SELECT * FROM labels",
-    "main_cluster_interval": f"""{_LABELS}, cl AS (SELECT doc_id, label, count(*) AS size, min(line_no) AS first_line, max(line_no) AS last_line FROM labels WHERE label >= 0 GROUP BY ALL)
-SELECT doc_id, label, size, first_line, last_line FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, label) AS k FROM cl) WHERE k = 1""",
+    "main_cluster_interval": f"{_LABELS}, {_MAIN} SELECT * FROM main",
     "keyword_match": f"WITH {_INVOICES}, {_MATCH} SELECT query, word_found, key_field, header_category, round(similarity, 6) AS similarity FROM found",
     "header_line": f"WITH {_LINES}, {_MATCH} SELECT doc_id, min(line_no) AS header_line FROM assigned WHERE {_NORMAL} IN (SELECT query FROM found) GROUP BY ALL",
-    "rfc_score": f"""WITH {_CODES}, cz AS (SELECT *, regexp_replace(upper(trim(code)), '[^A-ZÑ&0-9]', '', 'g') AS t FROM co)
-SELECT o_orderkey, code, (CASE WHEN regexp_matches(t, '^[A-ZÑ&]{{3,4}}[0-9]{{6}}[A-Z0-9]{{3}}$') THEN 0.95 WHEN regexp_matches(t, '^[A-ZÑ&]{{3,4}}[0-9]{{6}}[A-Z0-9]{{2}}$') THEN 0.85 WHEN regexp_matches(t, '^[A-ZÑ&]{{3,4}}[0-9]{{6}}$') THEN 0.75 WHEN t = 'RFC' THEN 0.8 WHEN contains(t, 'RFC') THEN 0.7 ELSE 0.0 END)::DOUBLE AS score FROM cz""",
-    "date_score": f"WITH {_CODES} SELECT o_orderkey, day, (CASE WHEN coalesce(try_strptime(day, '%d/%m/%Y'), try_strptime(day, '%d-%m-%Y'), try_strptime(day, '%d.%m.%Y'), try_strptime(day, '%Y-%m-%d')) IS NOT NULL THEN 0.95 ELSE 0.0 END)::DOUBLE AS score FROM co",
+    "rfc_score": f"WITH {_CODES} SELECT o_orderkey, code, ({_TAX.format(q='code')})::DOUBLE AS score FROM co",
+    "date_score": f"WITH {_CODES} SELECT o_orderkey, day, ({_DAY.format(q='day')})::DOUBLE AS score FROM co",
     "structured_cells": _CELLS,
     "recent_records": "SELECT event_id, user_id, event_type, value FROM events ORDER BY ts DESC, event_id LIMIT 100",
     "orphan_orders": "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) GROUP BY ALL",
@@ -225,4 +290,22 @@ round(atan2((ymin + ymax) / 2, (xmin + xmax) / 2), 6) AS angle_x, round(atan2((x
     "correction_band": f"""WITH {_INVOICES}, {_LEX}, ws AS (SELECT DISTINCT lower(ocr_text) AS word FROM polygons WHERE regexp_matches(lower(ocr_text), '^[a-z]{{3,}}$')),
 lk AS (SELECT word AS entry, sum({_likelihood()}) AS l FROM (SELECT word, unnest(string_split(word, '')) AS c FROM lex) GROUP BY ALL)
 SELECT ws.word, entry, round(l, 6) AS likelihood FROM ws JOIN lk ON abs(length(ws.word) - length(entry)) <= 2""",
+    "tabular_lines": f"""{_LABELS}, {_MAIN} SELECT l.doc_id, l.line_no, coalesce(l.line_no BETWEEN first_line AND last_line, false) AS tabular_line FROM lines l LEFT JOIN main USING (doc_id)""",
+    "dbscan_points": f"""WITH RECURSIVE v AS (SELECT label AS doc_id, vec_id::INT AS line_no, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings WHERE label IS NOT NULL),
+z AS (SELECT doc_id, line_no, [(x - avg(x) OVER d) / CASE WHEN stddev_pop(x) OVER d < 1e-9 THEN 1 ELSE stddev_pop(x) OVER d END, (y - avg(y) OVER d) / CASE WHEN stddev_pop(y) OVER d < 1e-9 THEN 1 ELSE stddev_pop(y) OVER d END] AS p FROM v WINDOW d AS (PARTITION BY doc_id)),
+{_clusters(0.3, 4)} SELECT * FROM labels""",
+    "regex_search": _SEARCH,
+    "keyword_match_statistics": _WITH_STATS,
+    "correction_candidates": _DISTANCES,
+    "invoice_tables": _reconcile("documented", False, f"{_CELLS[5:].replace('SELECT doc_id, row_id, col_id::INT AS col_id, coalesce', 'cells AS (SELECT doc_id, row_id, col_id::INT AS col_id, coalesce').replace('gr AS (SELECT doc_id, line_no, row_id, unnest(range(h)) AS col_id FROM rw)', 'gr AS (SELECT doc_id, line_no, row_id, unnest(range(h)) AS col_id FROM rw),')}), {_PARSES}"),
+    "line_vectors": f"""WITH {_LAYOUT}, ch AS (SELECT doc_id, line_no, word_no, unnest(range(length(text))) AS i, unnest(string_split(text, '')) AS c FROM words),
+pl AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line_no ORDER BY word_no, i) AS place, CASE WHEN instr({_ENC}, c) > 0 THEN instr({_ENC}, c) - 1 ELSE 116 END AS code FROM ch)
+SELECT doc_id, line_no, count(*) AS n, sum(place * code)::BIGINT AS weighted FROM pl GROUP BY ALL""",
+    "abbreviations": f"""WITH {_LAYOUT} SELECT DISTINCT text AS word, lower(text) IN ('kg', 'cm', 'mm', 'm', 'l', 'ml', 'g', 'mg', 'oz', 'lb', 'pz', 'pcs', 'tl', 'tlf', 'tel', 'fax', 'cel', 'mob', 'sk', 'sku', 'upc', 'pal', 'red', 'delg', 'punt', 'clav', 'torn', 'tuerc', 'arand', 'caja', 'bols', 'paq', 'unid', 'doc', 'docena', 'caj')
+  OR NOT regexp_matches(lower(text), '[aeiouáéíóúü]') OR regexp_matches(text, '[a-z][A-Z]|[A-Z][a-z]') OR regexp_matches(lower(text), '^([a-z]+\\d+|\\d+[a-z]+|[a-z]+/[a-z0-9]+|[a-z]+\\.[a-z.]*|\\d+x\\d+|[a-z]{{1,2}}\\d{{1,2}}|[a-z]+[0-9]+[a-z]*|[0-9]+[a-z]+[0-9]*|[a-z]+[0-9]+[a-z]+)$') AS abbreviation FROM words""",
+    "header_texts": f"""WITH {_LINES}, hl AS (SELECT doc_id, min(line_no) AS line_no FROM assigned GROUP BY ALL) SELECT doc_id, string_agg(ocr_text, '|' ORDER BY place) AS header FROM assigned JOIN hl USING (doc_id, line_no) WHERE ocr_text <> '' GROUP BY ALL""",
+    "recognised_update": f"""WITH {_LAYOUT} SELECT doc_id, line_no, word_no, CASE WHEN word_no % 3 = 0 THEN text ELSE text || '~' END AS ocr_text, CASE WHEN word_no % 3 = 0 THEN confidence ELSE word_no % 100 + 0.5 END AS confidence FROM words""",
+    "image_metadata": """SELECT 'page_' || page_id AS doc_id, 'page_' || page_id || '.png' AS image_name, 'png' AS format, (page_id % 5 * 100)::INT AS width, length(coalesce(url, ''))::INT AS height, strlen(coalesce(html, ''))::BIGINT AS size, CASE WHEN page_id % 2 = 0 THEN 'L' END AS color FROM pages WHERE page_id % 5 > 0""",
+    "orphan_events": "SELECT event_type, count(*) AS n FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY ALL",
+    "record_inserts": """SELECT o_orderstatus AS "TipoDocumento", count(*) AS n, round(sum(o_totalprice), 2)::DOUBLE AS total FROM (SELECT coalesce(CASE o_orderstatus WHEN 'F' THEN 'factura' WHEN 'O' THEN 'nota' END, 'ticket') AS o_orderstatus, o_totalprice FROM orders) GROUP BY ALL""",
 }

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.functions import geometry, text
-from tallyline.operators import correct, density, keywords, lines, pixels, reconcile, sinks, structure
+from tallyline.operators import updates, correct, density, keywords, lines, pixels, reconcile, sinks, structure
 from tallyline.plans import registry
 from tallyline.sources import readers
 from tallyline.streaming import pages
@@ -68,7 +68,7 @@ def test_noisy_dates_and_tax_ids(spark):
     assert {r[0]: r[1] for r in df.select("t", text.date_score(df.t)).collect()} == dates
     ids = {"abcd901231xy1": 0.95, "abc901231xy1": 0.85, "abcde12345xy": 0.85, "rfc: abc901231xy1": 0.75, "ab1": 0.0, "rfc": 0.8, "r.f.c": 0.8, "r..fc": 0.7, "RFC": 0.7, "rfcabc": 0.0, "abcdefghijkl": 0.0, None: 0.0}
     df = spark.createDataFrame([(k,) for k in ids], "t string")
-    assert {r[0]: r[1] for r in df.select("t", text.noisy_tax_id_score(df.t)).collect()} == ids
+    assert {r[0]: r[1] for r in df.select("t", text.tax_id_score(df.t)).collect()} == ids
 
 
 def test_geometry(spark):
@@ -215,7 +215,49 @@ def test_correction(spark):
     names = spark.createDataFrame([("bolt",), ("gear",), ("belt",)], "word string")
     got = {r.word: (r.corrected, r.changed) for r in correct.correct(words, names).collect()}
     assert got == {"boit": ("bolt", True), "gear": ("gear", False), "kg": ("kg", False), "zzzzaa": ("zzzzaa", False)}
-    assert "bolt" in one(spark, w="b0lt").select(correct.variations(F.col("w"))).first()[0]
+    assert one(spark, w="b1").select(correct.variations(F.col("w"))).first()[0] == ["81", "h1", "bi", "bl"]
+    assert correct.weighted_distance("6ear", "gear") == pytest.approx(0.3) and correct.weighted_distance("boit", "bolt") == 1 and correct.weighted_distance("nora", "mora") == pytest.approx(0.4)
+    kinds = spark.createDataFrame([(w,) for w in ("kg", "caja", "PAL0", "25x25", "C/10", "A.B.C", "brt", "Rojo", "rojo", "tuerca")], "w string")
+    assert [r[0] for r in kinds.select(correct.is_abbreviation(F.col("w"))).collect()] == [True, True, True, True, True, True, True, True, False, False]
+
+
+def test_lemmas_and_texts(spark):
+    names = spark.createDataFrame([("cantar",), ("comer",), ("tornillo",), ("vivir",)], "word string")
+    words = spark.createDataFrame([(w,) for w in ("cantando", "comido", "vivir", "xando", "pez", "COMERÁ")], "word string")
+    assert {r.word: r.lemma for r in correct.lemmas(words, names).collect()} == {"cantando": "cantar", "comido": "comer", "vivir": "vivir", "xando": "xando", "pez": "pez", "COMERÁ": "comer"}
+    rows = [(1, "torn1llo  cantando kg", 50.0), (2, "torn1llo", 90.0), (3, None, 10.0), (4, "", 10.0), (5, "ana tornilo", 10.0), (6, "x torni1lo", None)]
+    own = spark.createDataFrame([("ana",)], "word string")
+    got = {r.key: (r.corrected, r.original_length, r.corrected_length, r.text_changed) for r in correct.correct_texts(spark.createDataFrame(rows, "key long, text string, confidence double"), names, own).collect()}
+    # a word with a digit inside has the form of a code and stays
+    assert got == {1: ("torn1llo cantando kg", 21, 20, True), 2: ("torn1llo", 8, 8, False), 3: ("", 0, 0, False), 4: ("", 0, 0, False), 5: ("ana tornillo", 11, 12, True), 6: ("x torni1lo", 10, 10, False)}
+
+
+def test_search_by_patterns(spark):
+    wanted = {"rfc": ("RFCProveedor", "rfc", 0.8, "regex_rfc"), "abcd010203xy1": ("RFCProveedor", "registrofederaldecontribuyentes", 0.95, "regex_rfc"), "31/12/2023": ("FechaDocumento", "fecha", 0.95, "regex_fecha"),
+              "fecha": ("FechaDocumento", "fecha", 0.85, "regex_fecha"), "hxxora": ("FechaDocumento", "hora", 0.75, "regex_fecha"), "x": None, "importe": None, "hoxxxra": ("FechaDocumento", "hora", 0.7, "regex_fecha")}
+    df = spark.createDataFrame([(q,) for q in wanted], "q string")
+    got = {r.q: r.s and (r.s.field, r.s.word_found, r.s.similarity, r.s.method) for r in df.select("q", text.search(F.col("q")).alias("s")).collect()}
+    assert got == wanted
+
+
+def test_clusters_of_more_samples(spark):
+    rng = random.Random(9)
+    points = [(rng.gauss(4 * (i % 3), 0.6), rng.gauss(0, 0.6)) for i in range(90)]
+    near = [[j for j in range(90) if sum((a - b) ** 2 for a, b in zip(points[i], points[j], strict=True)) <= 0.25] for i in range(90)]
+    core = [len(x) >= 5 for x in near]
+    want, n = [-1] * 90, 0
+    for i in range(90):
+        if core[i] and want[i] < 0:
+            todo = [i]
+            while todo:
+                k = todo.pop()
+                if want[k] < 0:
+                    want[k] = n
+                    todo += near[k] if core[k] else []
+            n += 1
+    df = spark.createDataFrame([(1, i, *p) for i, p in enumerate(points)], "doc_id long, line_no int, x double, y double")
+    got = {r.line_no: r.label for r in density.clusters(df, 0.5, ("x", "y"), 5).collect()}
+    assert [got[i] for i in range(90)] == want and -1 in want and n > 2
 
 
 def test_payload_and_orphans(spark):
@@ -254,3 +296,69 @@ def test_registry_and_stream(spark, tmp_path):
     spark.createDataFrame(rows, BOX).write.json(str(tmp_path / "in"))
     pages.tables(pages.pages(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).where("text = '25'").count() >= 1
+
+
+def test_updates(spark):
+    boxes = spark.createDataFrame([(1, i, f"t{i}", 10.0 * i) for i in range(4)], "doc_id long, poly_no int, ocr_text string, confidence double")
+    results = spark.createDataFrame([(1, [2, 0, 2], [("new", 99.0), None, (None, 1.5), ("beyond", 1.0)])], "doc_id long, ids array<int>, results array<struct<text:string,confidence:double>>")
+    got = {r.poly_no: (r.ocr_text, r.confidence) for r in updates.recognised(boxes, results, ["doc_id"], "poly_no").collect()}
+    assert got == {0: ("t0", 0.0), 1: ("t1", 10.0), 2: ("", 1.5), 3: ("t3", 30.0)}
+    lines = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "doc_id long, line_no int")
+    marked = updates.mark_header(lines, spark.createDataFrame([(1, 2)], "doc_id long, header_line int"))
+    assert sorted((r.doc_id, r.line_no, r.header_line) for r in marked.collect()) == [(1, 1, False), (1, 2, True), (2, 1, False)]
+    assert updates.staged(boxes, "moire").first().stage == "moire"
+    images = spark.createDataFrame([("a", None, "png", 5, 6, 30, None, "L"), ("b", "n", None, None, 6, 1, None, None)], "doc_id string, image_name string, format string, width int, height int, size long, date_creation string, color string")
+    assert [(r.doc_id, r.image_name, r.format, r.width) for r in updates.metadata(images).collect()] == [("a", "", "png", 5)]
+
+
+def test_plug_ins(spark):
+    def reader():
+        return lambda crops: [(f" {h}x{w} ", 0.98765) for h, w, _ in crops] if len(crops) != 3 else []
+
+    crops = spark.createDataFrame([(1, i, 2, i, bytearray(b"x")) for i in range(5)], "doc_id long, poly_no int, height int, width int, gray binary").coalesce(1)
+    got = {r.poly_no: (r.ocr_text, r.confidence) for r in updates.recognise(crops, "sizes", reader, batch=2).collect()}
+    assert got == {i: (f"2x{i}", 98.77) for i in range(5)}
+    assert {r.ocr_text for r in updates.recognise(crops.where("poly_no < 3"), "sizes", reader, batch=3).collect()} == {None}
+
+    def finder():
+        return lambda h, w, gray: [[(0, 0), (w, 0), (w, h), (0, h)]] * (w % 3)
+
+    found = updates.detect(crops.drop("poly_no").withColumn("doc_id", F.monotonically_increasing_id()), "boxes", finder).groupBy("doc_id").count().collect()
+    assert sorted(r["count"] for r in found) == [1, 1, 2]
+
+
+def test_records(spark, tmp_path):
+    rows = spark.createDataFrame([("b", None, 5.0), ("a", "nota", 7.5)], "FolioDocumento string, TipoDocumento string, MontoTotalDocumento double")
+    made = sinks.records(rows)
+    assert {(r.FolioDocumento, r.TipoDocumento) for r in made.collect()} == {("b", "ticket"), ("a", "nota")} and made.select("IDRegistro").distinct().count() == 2
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks_test LOCATION '%s'" % (tmp_path / "db"))
+    try:
+        sinks.create_tables(spark, "sinks_test")
+        assert {r.tableName for r in spark.sql("SHOW TABLES IN sinks_test").collect()} == {t.lower() for t in sinks.TABLES}
+        one = made.withColumn("IDRegistro", F.col("FolioDocumento")).withColumn("IDProveedor", F.lit("nobody"))
+        sinks.insert(one, "sinks_test.RegistrosCompra")
+        sinks.insert(one, "sinks_test.RegistrosCompra")  # known keys are not inserted again
+        assert spark.table("sinks_test.RegistrosCompra").count() == 2
+        assert [(r.child, r.value, r.n) for r in sinks.broken_references(spark, "sinks_test").collect()] == [("RegistrosCompra", "nobody", 2)]
+    finally:
+        spark.sql("DROP DATABASE sinks_test CASCADE")
+    cells = cells_of(spark, [["a,b", 'say "x"'], ["c", None]])
+    header = spark.createDataFrame([(0, ["Qty", "Item"])], "doc_id long, header array<string>")
+    for head, want in ((header, "Qty,Item"), (header.limit(0), "col_0,col_1")):
+        sinks.save_corrected(cells, head, str(tmp_path / "csv"))
+        assert [r.line for r in spark.read.parquet(str(tmp_path / "csv")).orderBy("row_id").collect()] == [want, '"a,b","say ""x"""', "c,"]
+    sinks.save_tables(cells, str(tmp_path / "wide"), "parquet", names=["qty"], buckets=2)
+    assert set(spark.read.parquet(str(tmp_path / "wide")).columns) == {"doc_id", "row_id", "qty", "col_1", "bucket"}
+    sinks.save_text(spark.createDataFrame([("one",), (None,)], "text string"), str(tmp_path / "text"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "text")).collect()) == ["", "one"]
+    assert tuple(sinks.totals(spark.createDataFrame([(2.0,), (4.0,)], "seconds double")).first()) == (2, 6.0, 3.0)
+
+
+def test_lexicon_statistics(spark):
+    entries = keywords.with_statistics(keywords.lexicon(spark, (("total", "total"), ("montototal", "total"), ("iva", "tax")), (("cantidad", "quantity"),)))
+    words = spark.createDataFrame([("iva",), ("total",), ("totl",)], "word string")
+    plain = {r.query: r.similarity for r in keywords.match(words, entries.drop("stats")).collect()}
+    with_stats = {r.query: (r.word_found, round(r.similarity, 6)) for r in keywords.match(words, entries).collect()}
+    assert "iva" not in plain and "total" in plain and with_stats["total"] == ("total", 1.0)
+    row = keywords.info(entries).first()
+    assert (row.total_words, row.field_words, row.header_words, row.words_with_statistics, row.n_min, row.n_max) == (4, 3, 1, 3, 2, 5)
