@@ -256,12 +256,14 @@ def remaining_links(lists: DataFrame, sets: DataFrame, links: DataFrame) -> Data
     own = components(links).withColumnRenamed("node", "doc_id")
     member = groups.withColumnRenamed("node", "doc_id").withColumnRenamed("root", "g").join(own, "doc_id", "left").select("doc_id", "g", F.coalesce("root", "doc_id").alias("c"))
     member = written(member.join(sets, "doc_id").withColumn("n", F.size("s")), "members")
-    sizes = member.groupBy("g", "c").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("g").agg(F.max(F.struct("k", "c")).alias("m")).select("g", F.col("m.c").alias("main"))
-    member = member.join(main, "g")
+    # of each group the largest component, and the blocks of all and of the others
+    sizes = member.groupBy("g", "c").agg(F.count("*").alias("k"), F.sum("n").alias("w")).groupBy("g").agg(F.max(F.struct("k", "c", "w")).alias("m"), F.sum("w").alias("w"))
+    blocks = lambda w: F.ceil(w / BLOCK).cast("int")
+    about = written(sizes.select("g", F.col("m.c").alias("main"), blocks(F.col("w")).alias("all"), blocks(F.col("w") - F.col("m.w")).alias("left")).where("left > 0"), "groups")
+    # a group's rows stay where they are: what is known of it comes to them
+    member = member.join(F.broadcast(about) if about.count() <= BROADCAST_IDS else about, "g")
     rest = F.col("c") != F.col("main")
-    blocks = member.groupBy("g").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("all"), F.ceil(F.sum(F.when(rest, F.col("n")).otherwise(0)) / BLOCK).cast("int").alias("left")).where("left > 0")
-    member = member.join(blocks, "g").select("g", "doc_id", "c", "s", "main", "all", "left", F.pmod(F.xxhash64("doc_id"), "all").cast("int").alias("j"), F.pmod(F.xxhash64("doc_id"), "left").cast("int").alias("i"))
+    member = member.select("g", "doc_id", "c", "s", "main", "all", "left", F.pmod(F.xxhash64("doc_id"), "all").cast("int").alias("j"), F.pmod(F.xxhash64("doc_id"), "left").cast("int").alias("i"))
     left = member.where(rest).select("g", "i", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), "doc_id", "c", "s")
     right = member.select("g", F.explode(F.sequence(F.lit(0), F.col("left") - 1)).alias("i"), "j", "doc_id", "c", "s")
     right = right.select(*[F.col(c).alias(f"{c}_right") for c in right.columns])
