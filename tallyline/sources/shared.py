@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where unset (tests in one JVM) a
-    folder of our own."""
+    """The session's spark.checkpoint.dir; where unset, a folder of our own in one
+    JVM (tests), and an error on a cluster, whose executors don't see the driver's."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyline-")
         spark.conf.set("spark.checkpoint.dir", found)
         _drop_at_exit(spark, found)
