@@ -61,6 +61,8 @@ ESTIMATE = 0.5
 #: Sketches from which on a value's count is broadcast.
 HOT = 1000
 BLOCK = 500_000
+#: Smaller groups give up to SPREAD blocks of at least PIECE shingles.
+SPREAD, PIECE = 16, 50_000
 SALTS = 16
 #: Ids of candidate documents that are broadcast.
 BROADCAST_IDS = 1_000_000
@@ -258,7 +260,7 @@ def remaining_links(lists: DataFrame, sets: DataFrame, links: DataFrame) -> Data
     member = written(member.join(sets, "doc_id").withColumn("n", F.size("s")), "members")
     # of each group the largest component, and the blocks of all and of the others
     sizes = member.groupBy("g", "c").agg(F.count("*").alias("k"), F.sum("n").alias("w")).groupBy("g").agg(F.max(F.struct("k", "c", "w")).alias("m"), F.sum("w").alias("w"))
-    blocks = lambda w: F.ceil(w / BLOCK).cast("int")
+    blocks = lambda w: F.greatest(F.ceil(w / BLOCK), F.least(F.lit(SPREAD), F.ceil(w / PIECE))).cast("int")
     about = written(sizes.select("g", F.col("m.c").alias("main"), blocks(F.col("w")).alias("all"), blocks(F.col("w") - F.col("m.w")).alias("left")).where("left > 0"), "groups")
     # a group's rows stay where they are: what is known of it comes to them
     member = member.join(F.broadcast(about) if about.count() <= BROADCAST_IDS else about, "g")
