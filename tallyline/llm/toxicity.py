@@ -48,6 +48,8 @@ ROWS = 4000
 HELD_BY, RATIO, STATISTIC = 3, 2.0, 22.0
 PREFIXES = (3, 4, 5, 6, 7)
 THRESHOLD = 0.7
+#: What the regression sees of a document (`Scorer.inputs`).
+INPUTS = 4
 #: Tokens that a task remembers.
 KNOWN = 1_000_000
 
@@ -347,15 +349,15 @@ class Scorer:
         self.decoder = Decoder(model.language)
         self.weights = _Weights(self.decoder, model.evidence)
 
-    def inputs(self, text: str | None) -> tuple[float, float, float]:
-        """Evidence of the distinct tokens: in sum, by length, and the number of
-        tokens that hold some."""
+    def inputs(self, text: str | None) -> tuple[float, ...]:
+        """Evidence of the distinct tokens: in sum, a hundred tokens, at its
+        strongest, and the number of tokens that hold some."""
         if len(self.weights) > KNOWN:
             self.weights.clear()
         each, spaced, n = self.decoder.tokens(text or "")
         found = [w for w in map(self.weights.__getitem__, each | spaced) if w]
         total = sum(found)
-        return math.log1p(total), min(1.0, total / max(n, 20)), math.log1p(len(found))
+        return math.log1p(total), math.log1p(100 * total / max(n, 20)), max(found, default=0.0), math.log1p(len(found))
 
     def score(self, text: str | None) -> float:
         if not self.model.trained:
@@ -429,7 +431,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     told = both.select("piece", ratio.alias("ratio")).where((F.col("ratio") >= RATIO) & (g >= STATISTIC))
     evidence = {r.piece: r.ratio for r in told.orderBy(F.desc("ratio"), "piece").collect()}
     first = Model(language, evidence, (), True)
-    x = [np.array([r.x for r in _inputs(t, first).collect()]).reshape(-1, 3) for t in texts]
+    x = [np.array([r.x for r in _inputs(t, first).collect()]).reshape(-1, INPUTS) for t in texts]
     share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     slopes = regression(np.concatenate(x), np.repeat([True, False], [len(x[0]), len(x[1])]), share)
     return Model(language, evidence, tuple(map(float, slopes)), True)
