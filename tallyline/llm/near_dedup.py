@@ -31,7 +31,7 @@ Scale: texts are scanned once for sketches (at most K + 4 longs a document
 move), and the texts of candidates a second time. Copies collapse in a partial
 aggregate before anything is shuffled by text; joins to large classes are
 salted; values that more than HOT sketches retain meet their counts in a
-broadcast table. All loops write their state to the shared folder.
+broadcast table of at most HOT_VALUES rows. All loops write their state to the shared folder.
 
 Defined cases: null and empty texts have n_shingles 0 and stay; repeated rows
 share a class; rows with the same doc_id and different texts are one document,
@@ -58,8 +58,9 @@ WHOLE = 51
 LIST = 48
 #: Estimates below this are clear misses: NEEDED of K.
 ESTIMATE = 0.5
-#: Sketches from which on a value's count is broadcast.
-HOT = 1000
+#: A value's count is broadcast from HOT rows of it on, or from more where HOT_VALUES
+#: values could have so many.
+HOT, HOT_VALUES = 1000, 200_000
 BLOCK = 500_000
 #: Smaller groups give up to SPREAD blocks of at least PIECE shingles.
 SPREAD, PIECE = 16, 50_000
@@ -146,7 +147,8 @@ def full_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
         return step
 
     own = by_batch(_plain(documents).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), make, "doc_id long, key binary, s array<long>").dropDuplicates(["doc_id", "key"])
-    return own.join(F.broadcast(nodes) if few else nodes, ["doc_id", "key"]).select(F.col("node").alias("doc_id"), "s")
+    # own is dealt by these columns already
+    return own.join(nodes, ["doc_id", "key"]).select(F.col("node").alias("doc_id"), "s")
 
 
 def _digest(words: list[bytes]) -> bytes:
@@ -163,13 +165,13 @@ def _salt(of: str) -> Column:
 
 def _with_counts(df: DataFrame, size: str, *more: Column) -> DataFrame:
     """df(v, ...) with the number of rows of each v (and what else is aggregated),
-    of those with two or more. Rows of a hot v stay where they are."""
+    of those with two or more. Rows of a hot v stay where they are: of all rows at
+    most total / bound values have more than bound, so what is broadcast is bounded."""
     counts = written(df.groupBy("v").agg(F.count("*").alias(size), *more).where(F.col(size) > 1), "counts")
-    hot = counts.where(F.col(size) > HOT)
-    if hot.count() > BROADCAST_IDS:
-        return df.join(counts, "v")
-    tagged = df.join(F.broadcast(hot), "v", "left")
-    cold = tagged.where(F.col(size).isNull()).select(*df.columns).join(counts.where(F.col(size) <= HOT), "v")
+    total = counts.agg(F.sum(size)).first()[0] or 0
+    bound = max(HOT, total // HOT_VALUES)
+    tagged = df.join(F.broadcast(counts.where(F.col(size) > bound)), "v", "left")
+    cold = tagged.where(F.col(size).isNull()).select(*df.columns).join(counts.where(F.col(size) <= bound), "v")
     return tagged.where(F.col(size).isNotNull()).unionByName(cold)
 
 
