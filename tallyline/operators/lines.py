@@ -3,41 +3,52 @@ line so far. It runs inside a page; pages are independent."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 OVERLAP = 0.3
 FLAT = 1e-5
-_LINE = "struct<n:int,first:int,x0:double,x1:double,y0:double,y1:double>"
 
 
-def assign(polygons: DataFrame) -> DataFrame:
-    """The polygons with line_no from 1: words in order of their centres' y (then
+def grouped(polygons: DataFrame) -> DataFrame:
+    """doc_id, boxes: a row a page, whose boxes hold all other columns. Boxes that
+    are null belong to no line and go."""
+    box = polygons.where("doc_id IS NOT NULL AND ymin IS NOT NULL AND ymax IS NOT NULL")
+    return box.groupBy("doc_id").agg(F.collect_list(F.struct(*[c for c in polygons.columns if c != "doc_id"])).alias("boxes"))
+
+
+def folded(pages: DataFrame) -> DataFrame:
+    """doc_id, w, starts: the boxes (cy, box) of each page (doc_id, boxes) in order,
+    and where in them a line begins: words in order of their centres' y (then
     poly_no) stay in a line while they overlap its mean band by more than OVERLAP
-    of the lower of both heights. Boxes that are null belong to no line and go."""
-    box = polygons.where("ymin IS NOT NULL AND ymax IS NOT NULL")
-    words = box.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(((F.col("ymin") + F.col("ymax")) / 2).alias("cy"), "poly_no", "xmin", "ymin", "xmax", "ymax"))).alias("w"))
-    # sums, not means, are the state: y0 and y1 are sums over the line's n words
-    new = lambda x, i: F.struct(F.lit(1).alias("n"), i.alias("first"), x.xmin.alias("x0"), x.xmax.alias("x1"), x.ymin.alias("y0"), x.ymax.alias("y1"))
+    of the lower of both heights."""
+    words = pages.select("doc_id", F.sort_array(F.transform("boxes", lambda x: F.struct(((x.ymin + x.ymax) / 2).alias("cy"), x.poly_no.alias("poly_no"), x.alias("box")))).alias("w"))
 
     def step(a, e):
-        x, i, now = e.x, e.i, a.now
-        top, bottom = now.y0 / now.n, now.y1 / now.n
+        # sums, not means, are the state: y0 and y1 are sums over the line's n words
+        x, top, bottom = e.box, a.y0 / a.n, a.y1 / a.n
         low = F.least(bottom - top, x.ymax - x.ymin)
-        shared = F.greatest(F.lit(0.0), F.least(bottom, x.ymax) - F.greatest(top, x.ymin))
-        joins = F.when(low > FLAT, shared > OVERLAP * low).otherwise(False)
-        grown = F.struct((now.n + 1).alias("n"), now.first.alias("first"), F.least(now.x0, x.xmin).alias("x0"), F.greatest(now.x1, x.xmax).alias("x1"), (now.y0 + x.ymin).alias("y0"), (now.y1 + x.ymax).alias("y1"))
-        return (
-            F.when(now.n == 0, F.struct(a.done.alias("done"), new(x, i).alias("now")))
-            .when(joins, F.struct(a.done.alias("done"), grown.alias("now")))
-            .otherwise(F.struct(F.concat(a.done, F.array(now)).alias("done"), new(x, i).alias("now")))
-        )
-
-    start = F.expr(f"named_struct('done', cast(array() AS array<{_LINE}>), 'now', cast(named_struct('n', 0, 'first', 0, 'x0', 0D, 'x1', 0D, 'y0', 0D, 'y1', 0D) AS {_LINE}))")
-    each = F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    folded = words.select("doc_id", "w", F.aggregate(each, start, step, lambda a: F.concat(a.done, F.array(a.now))).alias("l"))
-    cut = folded.select("doc_id", "w", F.posexplode("l").alias("line_no", "line"))
-    members = cut.select("doc_id", (F.col("line_no") + 1).alias("line_no"), F.posexplode(F.expr("slice(w, line.first + 1, line.n)")).alias("place", "p"))
-    return members.select("doc_id", F.col("p.poly_no").alias("poly_no"), "line_no", "place").join(polygons, ["doc_id", "poly_no"])
+        joins = (low > FLAT) & (F.greatest(F.lit(0.0), F.least(bottom, x.ymax) - F.greatest(top, x.ymin)) > OVERLAP * low)
+        state = lambda starts, n, y0, y1: F.struct(starts.alias("starts"), (a.i + 1).alias("i"), n.alias("n"), y0.alias("y0"), y1.alias("y1"))
+        # the first word finds a band without height, which nothing joins
+        return F.when(joins, state(a.starts, a.n + 1, a.y0 + x.ymin, a.y1 + x.ymax)).otherwise(state(F.concat(a.starts, F.array(a.i)), F.lit(1), x.ymin, x.ymax))
+
+    start = F.expr("named_struct('starts', cast(array() AS array<int>), 'i', 0, 'n', 1, 'y0', 0D, 'y1', 0D)")
+    return words.select("doc_id", "w", F.aggregate("w", start, step, lambda a: a.starts).alias("starts"))
+
+
+def spans() -> Column:
+    """The lines of `folded` pages: first and n, the place of their first word and
+    how many they have."""
+    return F.transform("starts", lambda s, i: F.struct(s.alias("first"), (F.coalesce(F.get("starts", i + 1), F.size("w")) - s).alias("n")))
+
+
+def assign(polygons: DataFrame) -> DataFrame:
+    """The polygons with line_no from 1 and the place in the line, as `folded` finds
+    them. The columns travel with the words of the page: nothing is joined back."""
+    # of a plain explode Spark infers filters that repeat the fold; no list here is empty
+    cut = folded(grouped(polygons)).select("doc_id", "w", F.posexplode_outer(spans()).alias("line_no", "line"))
+    members = cut.select("doc_id", (F.col("line_no") + 1).alias("line_no"), F.posexplode_outer(F.expr("slice(w, line.first + 1, line.n)")).alias("place", "p")).where("p.poly_no IS NOT NULL")
+    return members.select("doc_id", "p.box.poly_no", "line_no", "place", *[f"p.box.{c}" for c in polygons.columns if c not in ("doc_id", "poly_no")])
 
 
 def lines(assigned: DataFrame) -> DataFrame:

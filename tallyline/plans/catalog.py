@@ -161,14 +161,15 @@ def date_score(spark: SparkSession, sf: str) -> DataFrame:
     return _codes(spark, sf).select("o_orderkey", "day", text.date_score(F.col("day")).alias("score"))
 
 
-def _cells(spark: SparkSession, sf: str) -> DataFrame:
-    placed = _assigned(spark, sf)
-    header = placed.groupBy("doc_id").agg(F.min("line_no").alias("header_line"))
-    return structure.cells(placed, header)
+def _table_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, lines: the words of the lines of each invoice, its header first. A
+    page stays in its row from the boxes on, so nothing is dealt out or written."""
+    pages = lines.folded(fixtures.invoice_pages(spark, sf).where("doc_id IS NOT NULL"))
+    return pages.select("doc_id", F.transform(lines.spans(), lambda x: F.transform(F.slice("w", x.first + 1, x.n), lambda b: b.box)).alias("lines"))
 
 
 def structured_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return _cells(spark, sf)
+    return structure.page_cells(_table_pages(spark, sf))
 
 
 def column_types(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,7 +197,7 @@ def reconcile_documented(spark: SparkSession, sf: str) -> DataFrame:
 
 def invoice_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes to lines, to cells, to reconciled cells."""
-    return reconcile.reconcile(_cells(spark, sf), "documented")
+    return reconcile.reconcile(structure.page_cells(_table_pages(spark, sf)), "documented")
 
 
 def detail_payload(spark: SparkSession, sf: str) -> DataFrame:
