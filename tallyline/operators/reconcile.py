@@ -106,6 +106,77 @@ def reconcile(cells: DataFrame, axioms: str = "coded", keep_fills: bool = False)
     return corrected(cells, types, winner, keep_fills)
 
 
+def page_tables(rows: DataFrame) -> DataFrame:
+    """doc_id, rows(row_id, cells(col_id, text, v, numeric)): a row a document.
+    rows(doc_id, row_id, texts): the texts of a row's cells, by column."""
+    cells = F.transform("texts", lambda t, j: F.struct(j.alias("col_id"), t.alias("text"), number(t).alias("v"), is_number(t).alias("numeric")))
+    return rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("row_id", cells.alias("cells")))).alias("rows"))
+
+
+def reconcile_pages(tables: DataFrame, axioms: str = "coded", keep_fills: bool = False) -> DataFrame:
+    """`reconcile` of tables as `page_tables` makes them: types, votes, roles and
+    corrections of a document are found inside its row, so cells are not dealt out
+    once a step and nothing is written."""
+    flat = tables.select("doc_id", "rows", F.flatten(F.transform("rows", lambda r: r.cells)).alias("flat"))
+
+    def share(j):
+        column = F.filter("flat", lambda x: x.col_id == j)
+        return F.size(F.filter(column, lambda x: x.numeric)) / F.size(column)
+
+    columns = F.sort_array(F.array_distinct(F.transform("flat", lambda x: x.col_id)))
+    quant = flat.select("doc_id", "rows", "flat", F.filter(columns, lambda j: share(j) >= NUMERIC_RATIO).alias("quant"))
+
+    def votes(r):
+        values = lambda: F.filter(r.cells, lambda x: x.v.isNotNull() & F.array_contains("quant", x.col_id))
+        fits = lambda c, pu, m: (c.col_id != pu.col_id) & ~m.col_id.isin(c.col_id, pu.col_id) & valid(c.v, pu.v, m.v, axioms)
+        triple = lambda c, pu, m: F.struct(c.col_id.alias("c"), pu.col_id.alias("pu"), m.col_id.alias("mtl"))
+        return F.flatten(F.transform(values(), lambda c: F.flatten(F.transform(values(), lambda pu: F.transform(F.filter(values(), lambda m: fits(c, pu, m)), lambda m: triple(c, pu, m))))))
+
+    voted = quant.select("*", F.when(F.size("quant") >= 3, F.transform("rows", votes)).alias("fits"))
+    # rows with more than two assignments have no vote; a vote is counted in halves
+    halves = F.flatten(F.transform(F.filter("fits", lambda x: F.size(x) <= 2), lambda x: F.when(F.size(x) == 1, F.concat(x, x)).otherwise(x)))
+    voted = voted.select("doc_id", "rows", "flat", "quant", halves.alias("halves"))
+    best = F.transform(F.array_distinct("halves"), lambda t: F.struct((-F.size(F.filter("halves", lambda x: x == t))).alias("score"), t.c.alias("c"), t.pu.alias("pu"), t.mtl.alias("mtl")))
+    won = voted.select("doc_id", "rows", "flat", "quant", F.array_min(best).alias("w"))
+
+    def median(role):
+        v = lambda: F.sort_array(F.transform(F.filter("flat", lambda x: (x.col_id == F.col("w")[role]) & x.v.isNotNull()), lambda x: x.v))
+        middle = lambda vs: F.slice(vs, F.floor((F.size(vs) + 1) / 2).cast("int"), 2 - F.size(vs) % 2)
+        return F.transform(F.array(middle(v())), lambda m: F.when(F.element_at(m, 1) == F.element_at(m, -1), F.element_at(m, 1)).otherwise(0.5 * F.element_at(m, 1) + 0.5 * F.element_at(m, -1)))
+
+    medians = F.struct(*[F.get(median(r), F.lit(0)).alias(r) for r in ROLES])
+    won = won.select("doc_id", "rows", "quant", "w", F.when(F.col("w").isNotNull(), medians).alias("m"))
+
+    def value(r, role):
+        return F.array_max(F.transform(F.filter(r.cells, lambda x: x.col_id == F.col("w")[role]), lambda x: x.v)).alias(role)
+
+    def fixed(x):
+        c, pu, mtl = x.c, x.pu, x.mtl
+        off = {k: F.abs(x[k] - F.col("m")[k]) for k in ROLES}
+        most = F.greatest(*off.values())
+        broken = c.isNotNull() & pu.isNotNull() & mtl.isNotNull() & ~close(c * pu, mtl, TOLERANCE)
+        moves_c = broken & (most == off["c"]) & (pu != 0)
+        moves_pu = broken & ~moves_c & (most == off["pu"]) & (c != 0)
+        return F.struct(
+            x.row_id.alias("row_id"), x.cells.alias("cells"),
+            F.when(moves_c | c.isNull(), F.coalesce(F.try_divide(mtl, pu), c)).otherwise(c).alias("c"),
+            F.when(moves_pu | pu.isNull(), F.coalesce(F.try_divide(mtl, c), pu)).otherwise(pu).alias("pu"),
+            F.when((broken & ~moves_c & ~moves_pu) | mtl.isNull(), F.coalesce(c * pu, mtl)).otherwise(mtl).alias("mtl"),
+        )
+
+    wide = F.transform("rows", lambda r: F.struct(r.row_id.alias("row_id"), r.cells.alias("cells"), *[value(r, k) for k in ROLES]))
+    done = won.select("doc_id", "quant", "w", F.transform(wide, fixed).alias("rows"))
+
+    def cell(r, x):
+        role = F.when(x.col_id == F.col("w.c"), r.c).when(x.col_id == F.col("w.pu"), r.pu).when(x.col_id == F.col("w.mtl"), r.mtl).otherwise(x.v)
+        new = F.when(F.col("w").isNotNull() & F.array_contains("quant", x.col_id) & (F.lit(keep_fills) | x.numeric), role)
+        return F.struct(r.row_id.alias("row_id"), x.col_id.alias("col_id"), F.when(new.isNull(), x.text).otherwise(money(new)).alias("text"))
+
+    out = F.flatten(F.transform("rows", lambda r: F.transform(r.cells, lambda x: cell(r, x))))
+    # outer: of a plain inline Spark infers filters that repeat all of the above
+    return done.select("doc_id", F.inline_outer(out))
+
+
 def totals(details: DataFrame, stated: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """doc_id, total, stated, matches: an extension; compares the sum of amounts
     with stated(doc_id, stated)."""

@@ -197,7 +197,7 @@ def reconcile_documented(spark: SparkSession, sf: str) -> DataFrame:
 
 def invoice_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes to lines, to cells, to reconciled cells."""
-    return reconcile.reconcile(structure.page_cells(_table_pages(spark, sf)), "documented")
+    return reconcile.reconcile_pages(reconcile.page_tables(structure.page_rows(_table_pages(spark, sf))), "documented")
 
 
 def detail_payload(spark: SparkSession, sf: str) -> DataFrame:
