@@ -1,9 +1,12 @@
 """Quality rules: an isolation forest over rule statistics.
 
 Every document is reduced to a few statistics (how long its words are, how much
-of it repeats, how many symbols it holds ...). A forest of random splits, grown
-on bounded samples, gives each document the mean length of the path that
-isolates it; short paths mark anomalies. Labelled rows calibrate the threshold.
+of it repeats, how many symbols it holds ...). A forest of random splits gives
+each document the mean length of the path that isolates it; short paths mark
+anomalies. All labelled rows make the model: their extremes bound the splits, the
+rows in each leaf are counted over all good ones, and the threshold is set by the
+scores of all. Only where a tree stops to split is decided on SAMPLE rows, which is
+the method's own; they are drawn from all good rows.
 
 The forest is a bounded object (TREES trees of at most 2 * SAMPLE nodes), so it
 travels inside the task closure. All documents are scored in one scan with no
@@ -23,12 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BATCH_ROWS, bound_batches, by_batch, claim, hashed_sample
+from .common import BATCH_ROWS, bound_batches, by_batch, claim, hashed_sample, written
 
 #: Forest size, and rows that one tree sees.
 TREES, SAMPLE = 200, 256
-#: Labelled rows that fit and calibrate, at most (taken in hash order).
-LABELLED_ROWS = 20_000
+#: Rows that the trees' samples are drawn from (all good ones while they are no
+#: more), and scores that the driver holds at once.
+DRAWN_ROWS, HELD_SCORES = TREES * SAMPLE, 10_000
 #: Share of good labelled rows that the threshold may reject.
 GOOD_REJECTED = 0.002
 SYMBOLS = b"#*$%&|<>"
@@ -107,15 +111,18 @@ class Forest:
         """2 ** (-mean path / expected path): near 1 for anomalies."""
         if not len(self.roots) or not len(x):
             return np.zeros(len(x))
+        return 2.0 ** (-self.path[self.leaves(x)].mean(1) / self.unit)
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each row in each tree."""
         node = np.repeat(self.roots[None, :], len(x), 0)
         rows = np.arange(len(x))[:, None]
         while True:
             f = self.feature[node]
             if (f < 0).all():
-                break
+                return node
             right = x[rows, np.maximum(f, 0)] >= self.split[node]
             node = np.where(f < 0, node, self.child[node] + right)
-        return 2.0 ** (-self.path[node].mean(1) / self.unit)
 
 
 def _expected(n: int) -> float:
@@ -170,18 +177,83 @@ def calibrated(forest: Forest, x: np.ndarray, good: np.ndarray) -> Forest:
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Forest:
-    """From a bounded sample of labelled rows: the trees see good rows alone,
-    so what is unlike them is isolated early; both classes set the threshold."""
-    known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    sample = hashed_sample(known, "doc_id", LABELLED_ROWS, labels.count())
-    rows = _stats(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id"), ["quality"]).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.n_words, r.quality))
-    x = np.array([r.features for r in rows]).reshape(-1, len(FEATURES))
-    good = np.array([r.quality > 0 for r in rows], bool)
-    passed = np.array([not base_failed(r.n_words, r.n_repeat_words) for r in rows], bool)
-    if not (good & passed).any():
-        return grow(x[:0], *np.zeros((2, len(FEATURES))))
-    return calibrated(grow(x[good & passed], x[passed].min(0), x[passed].max(0)), x[passed], good[passed])
+    """From all labelled rows: the trees hold good rows alone, so what is unlike
+    them is isolated early; both classes set the threshold."""
+    known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") > 0).alias("good"))
+    stats = _stats(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id"), ["good"])
+    rows = written(stats.where(F.expr("NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)")).select("doc_id", "good", "features"), "labelled")
+    each = [F.col("features")[i] for i in range(len(FEATURES))]
+    total = rows.agg(F.count("*").alias("n"), F.count_if("good").alias("good"), F.array(*map(F.min, each)).alias("low"), F.array(*map(F.max, each)).alias("high")).first()
+    if not total.good:
+        return grow(np.zeros((0, len(FEATURES))), *np.zeros((2, len(FEATURES))))
+    good = rows.where("good")
+    drawn = good if total.good <= DRAWN_ROWS else hashed_sample(good, "doc_id", DRAWN_ROWS, total.good)
+    x = np.array(sorted(r.features for r in drawn.select("features").collect()))
+    forest = grow(x, np.array(total.low), np.array(total.high))
+    forest = weighed(forest, _masses(good, forest), total.good)
+    return forest if total.good == total.n else _calibrated(rows, forest, total.good)
+
+
+def weighed(forest: Forest, masses: np.ndarray, rows: int) -> Forest:
+    """With paths from the numbers of all good rows in each leaf, brought to the
+    scale of a tree's sample."""
+    size = min(SAMPLE, max(2, rows))
+    depth = np.zeros(len(forest.feature))
+    for at in np.flatnonzero(forest.feature >= 0):  # children follow their parents
+        depth[forest.child[at]] = depth[forest.child[at] + 1] = depth[at] + 1
+    share = masses * size / rows
+    below = np.interp(share, np.arange(size + 1), [_expected(n) for n in range(size + 1)])
+    return replace(forest, path=np.where(forest.feature < 0, depth + below, 0.0))
+
+
+def _masses(good: DataFrame, forest: Forest) -> np.ndarray:
+    """How many of the rows come to each leaf: one pass, a sum a task."""
+    size = len(forest.feature)
+
+    def run(batches):
+        found = np.zeros(size, np.int64)
+        for batch in batches:
+            if batch.num_rows and len(forest.roots):
+                found += np.bincount(forest.leaves(np.array(batch["features"].to_pylist())).ravel(), minlength=size)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at], pa.int64())], ["leaf", "n"])
+
+    bound_batches(good.sparkSession)
+    masses = np.zeros(size)
+    for r in good.select("features").mapInArrow(run, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect():
+        masses[r.leaf] = r.n
+    return masses
+
+
+def _calibrated(rows: DataFrame, forest: Forest, n_good: int) -> Forest:
+    """`calibrated` with the scores of all rows, which stay in a table: an order
+    statistic of the good ones is found by counting, the bad ones have a minimum."""
+
+    def make():
+        return lambda batch: {"good": batch["good"], "score": forest.score(np.array(batch["features"].to_pylist())).tolist()}
+
+    scores = written(by_batch(rows.select("good", "features"), make, "good boolean, score double"), "scores")
+    least = ranked(scores.where("good"), int(np.ceil((1 - GOOD_REJECTED) * n_good)) - 1)
+    above = scores.where(~F.col("good") & (F.col("score") > least)).agg(F.min("score")).first()[0]
+    return replace(forest, threshold=least if above is None else (least + above) / 2)
+
+
+def ranked(scores: DataFrame, place: int) -> float:
+    """The score at a place (from 0) of all in order: what holds it is narrowed by
+    counts of 1000 equal ranges, until the driver can sort the rest."""
+    part = scores.select("score")
+    while True:
+        n, low, high = part.agg(F.count("*"), F.min("score"), F.max("score")).first()
+        if low == high:
+            return float(low)
+        if n <= HELD_SCORES:
+            return float(sorted(r.score for r in part.collect())[place])
+        at = F.least(F.floor((F.col("score") - low) / ((high - low) / 1000)), F.lit(999))
+        for r in part.groupBy(at.alias("at")).count().orderBy("at").collect():
+            if place < r["count"]:
+                part = part.where(at == r["at"])
+                break
+            place -= r["count"]
 
 
 def _stats(df: DataFrame, keep: list[str]) -> DataFrame:
