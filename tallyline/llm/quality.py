@@ -180,8 +180,10 @@ def fit(documents: DataFrame, labels: DataFrame) -> Forest:
     """From all labelled rows: the trees hold good rows alone, so what is unlike
     them is isolated early; both classes set the threshold."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") > 0).alias("good"))
-    stats = _stats(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id"), ["good"])
-    rows = written(stats.where(F.expr("NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)")).select("doc_id", "good", "features"), "labelled")
+    # statistics come before the join, so that no text is dealt out
+    stats = _stats(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), [])
+    passed = stats.where("NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)").select("doc_id", "features")
+    rows = written(passed.join(known, "doc_id").select("doc_id", "good", "features"), "labelled")
     each = [F.col("features")[i] for i in range(len(FEATURES))]
     total = rows.agg(F.count("*").alias("n"), F.count_if("good").alias("good"), F.array(*map(F.min, each)).alias("low"), F.array(*map(F.max, each)).alias("high")).first()
     if not total.good:
